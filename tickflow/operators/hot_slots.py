@@ -1,0 +1,139 @@
+"""Placement for price shifts when a slot of one symbol holds too many ticks.
+
+A hot slot is cut at quantiles of its own times into pieces of about equal
+size. A piece has to see what comes after it within the horizon, but only the
+records of each later piece: a tick that some earlier tick of its piece already
+beats cannot be the first to beat anything before the piece. Records are few,
+so showing them to every piece in reach stays cheap. A time that alone holds
+several quantiles gives several pieces, over which its ticks are dealt out;
+exact copies travel as one row with a count, in bounded portions.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tickflow.operators.shifts import payload, place
+from tickflow.schemas import MICROS
+
+_MOST_PIECES = 1024
+_COPIES_PER_ROW = 8192
+_INF = float("inf")
+
+
+def split_placement(
+    timed: DataFrame, counts: DataFrame, columns: list[str], limit: int, width: int, hot_slot: int, busiest: int,
+) -> DataFrame:
+    pieces = min(_MOST_PIECES, -(-busiest // hot_slot))
+    hot = counts.filter(F.col("_ticks") > hot_slot).select("symbol", "_slot")
+    cuts = _quantiles(timed, hot, pieces)
+    tagged = _with_cuts(timed, cuts, width)
+    near_hot = F.col("_cuts").isNotNull() | F.col("_cuts_before").isNotNull()
+    quiet = place(tagged.filter(~near_hot), columns, limit, width)
+    split = _place_pieces(tagged.filter(near_hot), columns, limit, width)
+    return quiet.unionByName(split)
+
+
+def _same_slot(left: DataFrame, right: DataFrame, slot: Column) -> Column:
+    return left["symbol"].eqNullSafe(right["_hot_symbol"]) & (slot == right["_hot_slot"])
+
+
+def _quantiles(timed: DataFrame, hot: DataFrame, pieces: int) -> DataFrame:
+    named = hot.select(F.col("symbol").alias("_hot_symbol"), F.col("_slot").alias("_hot_slot"))
+    hot_ticks = timed.join(named, _same_slot(timed, named, timed["_slot"]), "left_semi")
+    shares = [i / pieces for i in range(1, pieces)] or [0.5]
+    return hot_ticks.groupBy(F.col("symbol").alias("_hot_symbol"), F.col("_slot").alias("_hot_slot")).agg(
+        F.percentile_approx("_us", shares, 10_000).alias("_cuts"))
+
+
+def _with_cuts(timed: DataFrame, cuts: DataFrame, width: int) -> DataFrame:
+    """Cuts of the tick's own slot and of the one before, null where not hot.
+
+    No hint: there is one row per hot slot, and the planner broadcasts it if
+    its measured size allows.
+    """
+    own = timed.join(cuts, _same_slot(timed, cuts, timed["_slot"]), "left").drop("_hot_symbol", "_hot_slot")
+    previous = cuts.withColumnRenamed("_cuts", "_cuts_before")
+    return own.join(
+        previous, _same_slot(own, previous, own["_slot"] - F.lit(width * MICROS)), "left",
+    ).drop("_hot_symbol", "_hot_slot")
+
+
+def _place_pieces(near_hot: DataFrame, columns: list[str], limit: int, width: int) -> DataFrame:
+    no_cuts = F.array().cast("array<bigint>")
+    rows = _portions(near_hot, columns).withColumns({
+        "_cuts": F.coalesce("_cuts", no_cuts),
+        "_cuts_before": F.coalesce("_cuts_before", no_cuts),
+    })
+    below = F.size(F.filter("_cuts", lambda c: c < F.col("_us")))
+    upto = F.size(F.filter("_cuts", lambda c: c <= F.col("_us")))
+    rows = rows.withColumn("_below", below).withColumn("_upto", upto)
+    deal = F.pmod(F.xxhash64(*columns, "_portion"), F.col("_upto") - F.col("_below")).cast("int")
+    rows = rows.withColumn("_piece", F.when(
+        F.col("_upto") > F.col("_below"), F.col("_below") + 1 + deal).otherwise(F.col("_upto")))
+    rows = _with_records(rows)
+
+    # Earlier pieces of the slot, and of the slot before, that end within reach.
+    horizon_start = F.col("_us") - F.lit(limit)
+    reached = F.size(F.filter("_cuts", lambda c: c <= horizon_start))
+    in_slot = F.when(reached < F.col("_piece"), F.sequence(reached, F.col("_piece") - 1))
+    reached_before = F.size(F.filter("_cuts_before", lambda c: c <= horizon_start))
+    in_before = F.when(
+        F.col("_us") - F.col("_slot") < limit, F.sequence(reached_before, F.size("_cuts_before")))
+
+    def spots(pieces: Column, slot: Column) -> Column:
+        shown = F.when(F.col("_record"), F.coalesce(pieces, F.array().cast("array<int>")))
+        return F.transform(F.coalesce(shown, F.array().cast("array<int>")), lambda p: F.struct(
+            slot.alias("slot"), p.alias("piece"), F.lit(False).alias("own")))
+
+    home = F.array(F.struct(F.col("_slot").alias("slot"), F.col("_piece").alias("piece"), F.lit(True).alias("own")))
+    everywhere = F.concat(
+        home, spots(in_slot, F.col("_slot")), spots(in_before, F.col("_slot") - F.lit(width * MICROS)))
+    return rows.withColumn("_at", F.explode(everywhere)).select(
+        *payload(columns, F.col("_at.own")), "_us",
+        F.col("_at.slot").alias("_slot"), F.col("_at.piece").alias("_piece"), F.col("_at.own").alias("_own"),
+        "_copies",
+    )
+
+
+def _portions(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Exact copies as rows with a count of at most `_COPIES_PER_ROW`."""
+    if any(isinstance(f.dataType, (T.MapType, T.VariantType)) for f in rows.select(*columns).schema):
+        return rows.withColumn("_portion", F.lit(0)).withColumn("_copies", F.lit(1).cast("int"))
+    keys = [*columns, "_us", "_slot", "_cuts", "_cuts_before"]
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    last = F.floor((F.col("_n") - 1) / _COPIES_PER_ROW).cast("long")
+    portions = counted.withColumn("_portion", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    left = F.col("_n") - F.col("_portion") * _COPIES_PER_ROW
+    return portions.withColumn("_copies", F.least(F.lit(_COPIES_PER_ROW), left).cast("int")).drop("_n")
+
+
+def _with_records(rows: DataFrame) -> DataFrame:
+    """`_record`: no earlier tick of the piece is as high, or none as low.
+
+    Ticks at the very start of a piece may share their time with ticks dealt to
+    other pieces, and are no answer to those, so they do not outdo later ones.
+    """
+    start = F.coalesce(F.try_element_at("_cuts", F.col("_piece")), F.lit(-(2**63)).cast("long"))
+    start = F.when(F.col("_piece") > 0, start).otherwise(F.lit(-(2**63)).cast("long"))
+    after_start = F.col("_us") > start
+    before = (
+        Window.partitionBy("symbol", "_slot", "_piece").orderBy("_us")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    high = F.nanvl(F.col("price"), F.lit(-_INF))
+    low = F.nanvl(F.col("price"), F.lit(_INF))
+    best = {
+        "_high": F.max(high).over(before), "_low": F.min(low).over(before),
+        "_high_after": F.max(F.when(after_start, high)).over(before),
+        "_low_after": F.min(F.when(after_start, low)).over(before),
+    }
+    seen = rows.withColumns(best)
+
+    def outdoes(top: str, bottom: str) -> Column:
+        return (high > F.coalesce(top, F.lit(-_INF))) | (low < F.coalesce(bottom, F.lit(_INF)))
+
+    record = F.when(after_start, outdoes("_high_after", "_low_after")).otherwise(outdoes("_high", "_low"))
+    return seen.withColumn("_record", record)
