@@ -99,15 +99,17 @@ def merge_rungs(entries: DataFrame, *carried: str) -> DataFrame:
     )
 
 
-def nest(rows: DataFrame, into: str, fields: list[str], ladder: Ladder, keys=("timestamp", "symbol")) -> DataFrame:
-    """One row per key with an array of structs, in ladder order.
+def nest(
+    rows: DataFrame, into: str, fields: list[str], ladder: Ladder, keys=("timestamp", "symbol"), named=None,
+) -> DataFrame:
+    """One row per key with an array of structs, in ladder order; `named` keys are kept.
 
     A key has at most one row per rung, so the arrays are as short as the ladder.
     """
     order = F.array_position(F.array(*[F.lit(label) for label in ladder.labels]), F.col(fields[0]))
     packed = F.sort_array(F.collect_list(F.struct(order.alias("rank"), *fields)))
     return rows.groupBy(*keys).agg(packed.alias("packed")).select(
-        *keys,
+        *(named or keys),
         F.transform("packed", lambda p: F.struct(*[p[f].alias(f) for f in fields])).alias(into),
     )
 
