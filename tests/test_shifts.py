@@ -1,0 +1,148 @@
+import json
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tickflow.functions.beyond import Scan
+from tickflow.operators.shifts import price_shifts, shift_events, shift_messages
+
+S = 1_000_000
+
+
+def expected_shifts(rows, horizon):
+    """Per row (higher_window, higher_found, lower_window, lower_found), by trying every pair."""
+    out = []
+    for symbol, price, us in rows:
+        def side(beats):
+            gaps = [u - us for s, p, u in rows if s == symbol and 0 < u - us < (horizon + 1) * S and beats(p, price)]
+            return (min(gaps) // 1000 / 1000, True) if gaps else (float(horizon), False)
+        out.append((symbol, price, us, *side(lambda a, b: a > b), *side(lambda a, b: a < b)))
+    return sorted(out, key=repr)
+
+
+def got_shifts(df):
+    rows = df.select(
+        "symbol", "price", F.unix_micros("timestamp"), "higher_window", "higher_found", "lower_window", "lower_found")
+    return sorted(map(tuple, rows.collect()), key=repr)
+
+
+def random_rows(seed, n, span, levels):
+    rng = np.random.default_rng(seed)
+    price = rng.integers(0, levels, n).astype(float) if levels else np.cumsum(rng.normal(size=n))
+    return [(str(s), float(p), int(u)) for s, p, u in zip(rng.choice(list("AAAB"), n), price, rng.integers(0, span, n))]
+
+
+@pytest.mark.parametrize("hot_slot", [5_000_000, 25, 2])
+@pytest.mark.parametrize("span, levels", [(300, 5), (8 * S, 4), (8 * S, 0), (90 * S, 0), (90 * S, 3)])
+def test_equal_brute_force(ticks_of, span, levels, hot_slot):
+    rows = random_rows(1, 250, span, levels)
+    assert got_shifts(price_shifts(ticks_of(rows, 3), 2, hot_slot)) == expected_shifts(rows, 2)
+
+
+@pytest.mark.parametrize("hot_slot", [5_000_000, 20])
+def test_one_moment_holds_most_ticks(ticks_of, hot_slot):
+    rows = random_rows(2, 60, 20 * S, 4) + [("A", float(i % 3), 5 * S) for i in range(150)]
+    assert got_shifts(price_shifts(ticks_of(rows, 3), 2, hot_slot)) == expected_shifts(rows, 2)
+
+
+@pytest.mark.parametrize("hot_slot", [5_000_000, 20])
+@pytest.mark.parametrize("sign", [1, -1])
+def test_rising_and_falling(ticks_of, hot_slot, sign):
+    rows = [("A", float(sign * i), i * 10_000) for i in range(300)]
+    assert got_shifts(price_shifts(ticks_of(rows), 2, hot_slot)) == expected_shifts(rows, 2)
+
+
+def test_copies_keep_their_number(ticks_of):
+    from tickflow.operators import hot_slots
+    rows = [("A", 1.0, 0)] * 40 + [("A", 2.0, S)] * 30
+    before = hot_slots._COPIES_PER_ROW
+    hot_slots._COPIES_PER_ROW = 7
+    try:
+        assert got_shifts(price_shifts(ticks_of(rows), 2, 10)) == expected_shifts(rows, 2)
+    finally:
+        hot_slots._COPIES_PER_ROW = before
+
+
+def test_all_columns_stay(spark, ticks_of):
+    ticks = ticks_of(random_rows(3, 100, 20 * S, 0)).withColumn("id", F.monotonically_increasing_id()).withColumn(
+        "tag", F.array(F.col("symbol")))
+    for hot_slot in (5_000_000, 5):
+        out = price_shifts(ticks, 2, hot_slot)
+        assert out.columns[:5] == ["symbol", "price", "timestamp", "id", "tag"]
+        assert out.filter(F.col("tag").isNull()).count() == 0
+        assert out.select("id").distinct().count() == 100
+
+
+def test_limit_is_whole_seconds(ticks_of):
+    def window(after_us):
+        rows = [("A", 1.0, 0), ("A", 2.0, after_us)]
+        return tuple(price_shifts(ticks_of(rows), 20).orderBy("timestamp").select(
+            "higher_window", "higher_found").first())
+    assert window(20 * S) == (20.0, True)
+    assert window(21 * S - 1) == (20.999, True)
+    assert window(21 * S) == (20.0, False)
+
+
+def test_same_time_is_no_shift_and_bad_ticks_go(ticks_of):
+    rows = [("A", 1.0, 0), ("A", 2.0, 0), ("A", None, S), ("A", 5.0, None)]
+    out = price_shifts(ticks_of(rows)).collect()
+    assert len(out) == 2 and not any(r.higher_found or r.lower_found for r in out)
+
+
+def test_nan_neither_asks_nor_answers(ticks_of):
+    rows = [("A", 1.0, 0), ("A", float("nan"), S), ("A", 3.0, 2 * S)]
+    for hot_slot in (5_000_000, 1):
+        out = {r.price if r.price == r.price else "nan": r for r in price_shifts(ticks_of(rows), 20, hot_slot).collect()}
+        assert (out[1.0].higher_window, out[1.0].lower_found) == (2.0, False)
+        assert not out["nan"].higher_found and not out["nan"].lower_found
+
+
+def test_null_symbol_is_its_own_group(ticks_of):
+    rows = [(None, 1.0, 0), (None, 2.0, S), ("A", 0.0, S)]
+    for hot_slot in (5_000_000, 1):
+        out = price_shifts(ticks_of(rows), 20, hot_slot).filter("symbol is null").orderBy("timestamp").first()
+        assert (out.higher_window, out.lower_found) == (1.0, False)
+
+
+def test_empty_input(ticks_of):
+    assert price_shifts(ticks_of([])).count() == 0
+
+
+def test_messages(ticks_of):
+    rows = [("A", 1.0, 0), ("A", 2.0, 3_500_000), ("A", 0.5, 4_123_456)]
+    events = shift_events(price_shifts(ticks_of(rows)))
+    assert events.count() == 6
+    got = {(r.kind, r.value) for r in shift_messages(events).collect()}
+    assert ("higher", '{"timestamp":"1970-01-01T00:00:00Z","higher_window":3.5}') in got
+    assert ("lower", '{"timestamp":"1970-01-01T00:00:00Z","lower_window":4.123}') in got
+    assert ("higher", '{"timestamp":"1970-01-01T00:00:03.500Z","higher_window":20.0}') in got
+    assert ("lower", '{"timestamp":"1970-01-01T00:00:04.123456Z","lower_window":20.0}') in got
+    assert all(json.loads(v) for _, v in got)
+
+
+def test_no_pairs_and_one_shuffle(ticks_of):
+    plan = price_shifts(ticks_of(random_rows(4, 50, S, 0)))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Cartesian" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(st.tuples(
+        st.integers(0, 2), st.integers(0, 30), st.sampled_from([0.0, 1.0, 2.0, 3.0, float("nan"), float("inf")])),
+        min_size=1, max_size=60),
+    st.integers(1, 40), st.integers(1, 9))
+def test_scan_equals_brute_force(rows, limit, batch):
+    rows.sort(key=lambda r: (r[0], -r[1]))
+    groups, times, values = (np.array(x) for x in zip(*rows))
+    scan, got, last = Scan(limit), [], None
+    for i in range(0, len(rows), batch):
+        codes = np.unique(groups[i:i + batch], return_inverse=True)[1]
+        got.extend(scan.answers(codes, times[i:i + batch], values[i:i + batch].astype(float), groups[i] == last))
+        last = groups[min(i + batch, len(rows)) - 1]
+    for (g, t, v), answer in zip(rows, got):
+        gaps = [u - t for h, u, w in rows if h == g and 0 < u - t < limit and w > v]
+        assert answer == (min(gaps) if gaps else -1)

@@ -45,22 +45,26 @@ def validate_ticks(records: DataFrame, value: str = "value") -> DataFrame:
     A good record is a JSON object that has a symbol (of any type) and a price
     that reads as a number. NaN and infinity pass, marked by `non_finite`.
     """
-    text = F.col(value).cast("string")
-    parsed = F.try_parse_json(text)
-    fields = F.try_variant_get(parsed, "$", "map<string,variant>")
-    price = price_of(F.try_variant_get(parsed, "$.price", "string"))
+    # One projection per step, so that every text is parsed once.
+    read = (
+        records.withColumn("_text", F.col(value).cast("string"))
+        .withColumn("_hollow", F.col("_text").isNull() | F.col("_text").rlike(_HOLLOW))
+        .withColumn("_json", F.when(~F.col("_hollow"), F.try_parse_json("_text")))
+        .withColumn("_fields", F.try_variant_get("_json", "$", "map<string,variant>"))
+        .withColumn("_price", price_of(F.try_variant_get("_json", "$.price", "string")))
+    )
+    price, fields = F.col("_price"), F.col("_fields")
     reason = (
-        F.when(text.isNull() | text.rlike(_HOLLOW), EMPTY)
-        .when(parsed.isNull(), NOT_JSON)
+        F.when(F.col("_hollow"), EMPTY)
+        .when(F.col("_json").isNull(), NOT_JSON)
         .when(fields.isNull(), NOT_OBJECT)
         .when(~(F.map_contains_key(fields, "symbol") & F.map_contains_key(fields, "price")), MISSING_FIELD)
         .when(price.isNull(), BAD_PRICE)
     )
     odd = F.isnan(price) | (F.abs(price) == F.lit(float("inf")))
-    return records.withColumns({
-        "reject_reason": reason,
-        "non_finite": F.coalesce(reason.isNull() & odd, F.lit(False)),
-    })
+    judged = read.withColumn("reject_reason", reason).withColumn(
+        "non_finite", F.coalesce(F.col("reject_reason").isNull() & odd, F.lit(False)))
+    return judged.drop("_text", "_hollow", "_json", "_fields", "_price")
 
 
 def good(validated: DataFrame) -> DataFrame:

@@ -21,18 +21,27 @@ def window_stats(ticks: DataFrame, ladder: Ladder = LADDER, lateness: int = LATE
         return streaming_window_stats(ticks, ladder, lateness).select(
             "timestamp", "symbol", "window", "avg_price", "std_price")
     as_type = time_type(ticks, "timestamp")
-    table = slots(ticks, ladder)
-    if ladder.blocks_are_small:
-        entries = on_rungs(by_block(table, ladder), ladder)
-    else:
-        entries = on_rungs(table.withColumn("block", F.lit(0)), ladder)
-    stats = merge_rungs(entries)
-    return stats.select(
+    return _stats_by_block(ticks, ladder).select(
         from_micros(F.col("at"), as_type).alias("timestamp"),
         "symbol", "window", "avg_price", "std_price",
     )
 
 
+def nested_window_stats(ticks: DataFrame, ladder: Ladder = LADDER) -> DataFrame:
+    """`nest_stats(window_stats(ticks))` without a further shuffle."""
+    as_type = time_type(ticks, "timestamp")
+    packed = nest(_stats_by_block(ticks, ladder), "stats", ["window", "avg_price", "std_price"], ladder,
+                  keys=("symbol", "block", "at"))
+    return packed.select(from_micros(F.col("at"), as_type).alias("timestamp"), "symbol", "stats")
+
+
+def _stats_by_block(ticks: DataFrame, ladder: Ladder) -> DataFrame:
+    table = slots(ticks, ladder)
+    if ladder.blocks_are_small:
+        return merge_rungs(on_rungs(by_block(table, ladder), ladder))
+    return merge_rungs(on_rungs(table.withColumn("block", F.lit(0)), ladder))
+
+
 def slots(ticks: DataFrame, ladder: Ladder, *extra: Column) -> DataFrame:
     """Moments per symbol and slot, the widest interval that divides all rungs.
 

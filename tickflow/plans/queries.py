@@ -13,17 +13,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickflow.operators import ingest
-from tickflow.operators.ladder import nest_stats, unnest_stats, window_stats
+from tickflow.operators.ladder import nest_stats, nested_window_stats, unnest_stats, window_stats
 from tickflow.operators.shifts import HIGHER, LOWER, price_shifts, shift_events, shift_messages
 from tickflow.operators.zscore import nested_zscores, unnest_scores, zscores
 from tickflow.schemas import LADDER, LADDER_SCALED, WINDOW_STATS_WIRE, ZSCORES_WIRE, Ladder
-from tickflow.session import scratch_dir, tune
+from tickflow.session import scratch_dir, stream_settings, tune
 from tickflow.sinks.write import route_by, route_stream, run_to_end, to_wire, write_batch, write_stream
 from tickflow.sources.ticks import events_as_ticks, read_records, ticks_as_records
 from tickflow.streaming.ladder import (
     SLOTS_SCHEMA, slot_moments_stream, streaming_nested_stats, streaming_window_stats, window_stats_from_slots,
 )
-from tickflow.streaming.replay import FLUSH_SYMBOL, flush_tick, replay_ticks, stream_partitions
+from tickflow.streaming.replay import FLUSH_SYMBOL, flush_tick, replay_ticks
 from tickflow.streaming.shifts import streaming_price_shifts
 from tickflow.streaming.zscore import streaming_nested_scores
 
@@ -111,13 +111,13 @@ def _window_stats(ladder: Ladder) -> Query:
 
 
 def window_stats_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nested = nest_stats(window_stats(_ticks(spark, sf_dir), LADDER), LADDER)
+    nested = nested_window_stats(_ticks(spark, sf_dir), LADDER)
     return _tidy(nested.select("timestamp", "symbol", F.array_join("stats.window", ",").alias("windows")))
 
 
 def window_stats_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested, as JSON and back."""
-    wire = to_wire(nest_stats(window_stats(_ticks(spark, sf_dir), LADDER_SCALED), LADDER_SCALED))
+    wire = to_wire(nested_window_stats(_ticks(spark, sf_dir), LADDER_SCALED))
     return _tidy(unnest_stats(ingest.from_wire(wire, WINDOW_STATS_WIRE)), "avg_price", "std_price")
 
 
@@ -182,7 +182,7 @@ def stream_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         wire = to_wire(streaming_nested_stats(stats, LADDER_SCALED))
         return write_stream(wire, checkpoint, "text", out, available_now=True)
 
-    replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2)
+    replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2, operators=len(LADDER_SCALED.rungs))
     nested = ingest.from_wire(read_records(spark, "text", out), WINDOW_STATS_WIRE)
     return _tidy(_no_flush(unnest_stats(nested)), "avg_price", "std_price")
 
@@ -196,7 +196,7 @@ def stream_window_stats_from_slots(spark: SparkSession, sf_dir: str) -> DataFram
         return write_stream(slots, slots_checkpoint, "parquet", landed, available_now=True)
 
     replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2, flush_twice=True)
-    with stream_partitions(spark):
+    with stream_settings(spark, operators=len(LADDER_SCALED.rungs)):
         slots = spark.readStream.schema(SLOTS_SCHEMA).parquet(landed)
         stats = window_stats_from_slots(slots, LADDER_SCALED).drop("span")
         run_to_end(write_stream(stats, checkpoint, "parquet", out, available_now=True))
@@ -217,7 +217,7 @@ def stream_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
         nested = streaming_nested_scores(ingest.parse_ticks(records), stats, LADDER_SCALED, HOUR)
         return write_stream(to_wire(nested), checkpoint, "text", out, available_now=True)
 
-    replay_ticks(spark, ticks, start, steps=1)
+    replay_ticks(spark, ticks, start, steps=1, operators=2)
     nested = ingest.from_wire(read_records(spark, "text", out), ZSCORES_WIRE)
     return _tidy(_no_flush(unnest_scores(nested)), "zscore_price")
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -14,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Slots multiply after the shuffle, so small shuffles still go to all cores.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     # The byte limit is measured again after every row, which costs several
     # times the transfer. Batches stay bounded by their row count, and the
     # columns sent to Python are narrow.
@@ -21,6 +25,13 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
 }
 
+# State off the heap, with checkpoints of what changed.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply `SETTINGS` to a session; partition counts stay as the cluster has them."""
@@ -29,6 +40,30 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def stream_settings(spark: SparkSession, operators: int = 1) -> Iterator[None]:
+    """Settings to start a stateful query with; the session has its own back afterwards.
+
+    Every stateful operator commits a store per partition and micro-batch, and
+    the number of partitions is fixed for good by the first checkpoint. So the
+    cores are shared out among the operators that work side by side.
+    """
+    partitions = "spark.sql.shuffle.partitions"
+    share = max(2, spark.sparkContext.defaultParallelism // operators)
+    wanted = {**STREAM_SETTINGS, partitions: str(min(int(spark.conf.get(partitions)), share))}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one the cluster names in spark.checkpoint.dir.
 

@@ -8,15 +8,14 @@ own, which moves the watermark past everything else.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.functions.timeline import from_micros, micros, time_type
-from tickflow.session import scratch_dir
+from tickflow.session import scratch_dir, stream_settings
 from tickflow.sinks.write import run_to_end
 from tickflow.sources.ticks import read_records, ticks_as_records
 
@@ -24,28 +23,13 @@ FLUSH_SYMBOL = "~flush"
 _FLUSH_AFTER_DAYS = 3650
 
 
-@contextmanager
-def stream_partitions(spark: SparkSession) -> Iterator[None]:
-    """No more state partitions than the cluster has cores.
-
-    Every stateful operator opens a store per partition and micro-batch, and
-    the number is fixed for good by the first checkpoint.
-    """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def replay_ticks(
     spark: SparkSession, ticks: DataFrame, start: Callable[[DataFrame, str], StreamingQuery],
-    steps: int = 2, flush_twice: bool = False,
+    steps: int = 2, flush_twice: bool = False, operators: int = 1,
 ) -> None:
     """`start(records, checkpoint)` gets a stream of wire records and starts the query.
 
+    `operators` is the number of stateful operators that run side by side.
     `flush_twice` adds a second, later flush tick, for queries whose output
     feeds another one that has to be flushed as well.
     """
@@ -65,14 +49,14 @@ def replay_ticks(
             part = part.filter(F.col("timestamp") < cuts[step + 1])
         else:
             part = part.unionByName(flush_tick(ticks))
-        _run_on(spark, part, landing, checkpoint, start)
+        _run_on(spark, part, landing, checkpoint, start, operators)
     if flush_twice:
-        _run_on(spark, flush_tick(ticks, times=2), landing, checkpoint, start)
+        _run_on(spark, flush_tick(ticks, times=2), landing, checkpoint, start, operators)
 
 
-def _run_on(spark, part: DataFrame, landing: str, checkpoint: str, start) -> None:
+def _run_on(spark, part: DataFrame, landing: str, checkpoint: str, start, operators: int) -> None:
     ticks_as_records(part).write.mode("append").text(landing)
-    with stream_partitions(spark):
+    with stream_settings(spark, operators):
         run_to_end(start(read_records(spark, "text", landing, stream=True), checkpoint))
 
 
