@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tickflow.operators.shifts import payload, place
 from tickflow.schemas import MICROS
+from tickflow.session import scratch_dir
 
 _MOST_PIECES = 1024
 _COPIES_PER_ROW = 8192
@@ -27,8 +28,8 @@ def split_placement(
     timed: DataFrame, counts: DataFrame, columns: list[str], limit: int, width: int, hot_slot: int, busiest: int,
 ) -> DataFrame:
     pieces = min(_MOST_PIECES, -(-busiest // hot_slot))
-    hot = counts.filter(F.col("_ticks") > hot_slot).select("symbol", "_slot")
-    cuts = _quantiles(timed, hot, pieces)
+    hot = _written(counts.filter(F.col("_ticks") > hot_slot).select("symbol", "_slot"), "hot-slots")
+    cuts = _written(_quantiles(timed, hot, pieces), "hot-slot-cuts")
     tagged = _with_cuts(timed, cuts, width)
     near_hot = F.col("_cuts").isNotNull() | F.col("_cuts_before").isNotNull()
     quiet = place(tagged.filter(~near_hot), columns, limit, width)
@@ -36,6 +37,15 @@ def split_placement(
     return quiet.unionByName(split)
 
 
+def _written(small: DataFrame, name: str) -> DataFrame:
+    """A row per hot slot, written once, so that its use costs no scan of the
+    ticks and its size is known when joins are planned."""
+    spark = small.sparkSession
+    path = scratch_dir(spark, name)
+    small.write.parquet(path)
+    return spark.read.schema(small.schema).parquet(path)
+
+
 def _same_slot(left: DataFrame, right: DataFrame, slot: Column) -> Column:
     return left["symbol"].eqNullSafe(right["_hot_symbol"]) & (slot == right["_hot_slot"])
 
@@ -51,8 +61,7 @@ def _quantiles(timed: DataFrame, hot: DataFrame, pieces: int) -> DataFrame:
 def _with_cuts(timed: DataFrame, cuts: DataFrame, width: int) -> DataFrame:
     """Cuts of the tick's own slot and of the one before, null where not hot.
 
-    No hint: there is one row per hot slot, and the planner broadcasts it if
-    its measured size allows.
+    No hint: the planner broadcasts the cuts if the size of their files allows.
     """
     own = timed.join(cuts, _same_slot(timed, cuts, timed["_slot"]), "left").drop("_hot_symbol", "_hot_slot")
     previous = cuts.withColumnRenamed("_cuts", "_cuts_before")

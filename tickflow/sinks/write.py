@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-# Fixed value: the default time format of JSON cuts microseconds.
-_MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+from tickflow.sources.ticks import WIRE_MICROS
 
 
 def to_wire(df: DataFrame, keep_micros: bool = False) -> DataFrame:
-    """One JSON column `value` per row; null fields are left out."""
-    return df.select(F.to_json(F.struct("*"), _MICROS if keep_micros else {}).alias("value"))
+    """One JSON column `value` per row; null fields are left out.
+
+    Without `keep_micros` times are cut to milliseconds, enough for window ends.
+    """
+    options = {"timestampFormat": WIRE_MICROS} if keep_micros else {}
+    return df.select(F.to_json(F.struct("*"), options).alias("value"))
 
 
 def write_batch(

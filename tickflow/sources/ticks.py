@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tickflow.functions.timeline import require_utc
 
+# Fixed value: event time of a tick on the wire.
+WIRE_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+
 # A log source skips history on first start; a checkpoint resumes after it.
 _DEFAULTS = {"kafka": {"startingOffsets": "latest"}}
 
@@ -51,6 +54,6 @@ def ticks_as_records(ticks: DataFrame) -> DataFrame:
                 F.col("price").cast("string").alias("price"),
                 F.col("timestamp").cast("timestamp").alias("timestamp"),
             ),
-            {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"},
+            {"timestampFormat": WIRE_MICROS},
         ).alias("value")
     )

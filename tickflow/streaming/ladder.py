@@ -66,15 +66,16 @@ def slot_moments_stream(ticks: DataFrame, ladder: Ladder = LADDER, lateness: int
     return per_slot.select(F.col("span.start").alias("timestamp"), "symbol", *FIELDS)
 
 
-def window_stats_from_slots(slot_rows: DataFrame, ladder: Ladder = LADDER) -> DataFrame:
+def window_stats_from_slots(slot_rows: DataFrame, ladder: Ladder = LADDER, lateness: int = 0) -> DataFrame:
     """Second query: `window_stats` rows from the stream of landed slots.
 
-    Slots come out in order of their end, so none is late: a slot is only
-    landed once the first query's watermark has passed it. A window holds at
+    A slot is landed once the first query's watermark has passed it, so commit
+    after commit they come in order and none is late. Only where a trigger
+    takes part of a commit, `lateness` has to cover a commit's span. A window holds at
     most width / slot of them, whatever the number of ticks, and they are kept
     and merged as an array.
     """
-    marked = slot_rows.withWatermark("timestamp", "0 seconds")
+    marked = slot_rows.withWatermark("timestamp", f"{lateness} seconds")
     parts = F.collect_list(F.struct(*FIELDS)).alias("parts")
     rows = _union_of_rungs(marked, ladder, [
         F.sum("n").alias("n"), F.sum("total").alias("total"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), parts])

@@ -72,6 +72,7 @@ def _slot_state(limit: int, width: int, eager: bool):
             price = np.concatenate([price, frame["price"].to_numpy(dtype=np.float64)])
             marks = np.concatenate([marks, np.where(frame["asks"], _ASKS, 0).astype(np.uint8)])
         latest_first = np.argsort(-us, kind="stable")
+        latest_first = latest_first[_worth_keeping(us[latest_first], price[latest_first], slot + width)]
         us, price, marks = us[latest_first], price[latest_first], marks[latest_first]
         watermark = state.getCurrentWatermarkMs() * 1000
 
@@ -100,6 +101,25 @@ def _slot_state(limit: int, width: int, eager: bool):
     return step
 
 
+def _worth_keeping(us: np.ndarray, price: np.ndarray, end: int) -> np.ndarray:
+    """All ticks of the slot itself; of those after its end only records.
+
+    A later tick that does not outdo every tick between the end and itself
+    answers nothing that is asked before the end, whatever still arrives.
+    """
+    keep = us < end
+    after = price[~keep][::-1]
+    if len(after):
+        known = ~np.isnan(after)
+        records = np.zeros(len(after), dtype=bool)
+        for sign in (1, -1):
+            value = np.where(known, sign * after, -np.inf)
+            top = np.concatenate([[-np.inf], np.maximum.accumulate(value)[:-1]])
+            records |= value > top
+        keep[~keep] = records[::-1]
+    return keep
+
+
 def _load(state: GroupState):
     us, price, marks = state.get if state.exists else (b"", b"", b"")
     return (
