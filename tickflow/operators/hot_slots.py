@@ -19,7 +19,7 @@ from tickflow.operators.shifts import payload, place
 from tickflow.schemas import MICROS
 from tickflow.session import scratch_dir
 
-_MOST_PIECES = 1024
+_MOST_PIECES = 256
 _COPIES_PER_ROW = 8192
 _INF = float("inf")
 
@@ -72,10 +72,10 @@ def _with_cuts(timed: DataFrame, cuts: DataFrame, width: int) -> DataFrame:
 
 def _place_pieces(near_hot: DataFrame, columns: list[str], limit: int, width: int) -> DataFrame:
     no_cuts = F.array().cast("array<bigint>")
-    rows = _portions(near_hot, columns).withColumns({
+    rows = _portions(near_hot.withColumns({
         "_cuts": F.coalesce("_cuts", no_cuts),
         "_cuts_before": F.coalesce("_cuts_before", no_cuts),
-    })
+    }), columns)
     below = F.size(F.filter("_cuts", lambda c: c < F.col("_us")))
     upto = F.size(F.filter("_cuts", lambda c: c <= F.col("_us")))
     rows = rows.withColumn("_below", below).withColumn("_upto", upto)
@@ -108,15 +108,20 @@ def _place_pieces(near_hot: DataFrame, columns: list[str], limit: int, width: in
 
 
 def _portions(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Exact copies as rows with a count of at most `_COPIES_PER_ROW`."""
+    """Exact copies at a time that holds several cuts: rows with a count of at
+    most `_COPIES_PER_ROW`. Every other tick stays a row of its own."""
+    alone = {"_portion": F.lit(0).cast("long"), "_copies": F.lit(1).cast("int")}
     if any(isinstance(f.dataType, (T.MapType, T.VariantType)) for f in rows.select(*columns).schema):
-        return rows.withColumn("_portion", F.lit(0)).withColumn("_copies", F.lit(1).cast("int"))
-    keys = [*columns, "_us", "_slot", "_cuts", "_cuts_before"]
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        return rows.withColumns(alone)
+    crowded = F.size(F.filter("_cuts", lambda c: c == F.col("_us"))) > 1
+    keys = [*columns, "_us", "_slot"]
+    counted = rows.filter(crowded).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in ("_cuts", "_cuts_before")])
     last = F.floor((F.col("_n") - 1) / _COPIES_PER_ROW).cast("long")
     portions = counted.withColumn("_portion", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     left = F.col("_n") - F.col("_portion") * _COPIES_PER_ROW
-    return portions.withColumn("_copies", F.least(F.lit(_COPIES_PER_ROW), left).cast("int")).drop("_n")
+    portions = portions.withColumn("_copies", F.least(F.lit(_COPIES_PER_ROW), left).cast("int")).drop("_n")
+    return rows.filter(~crowded).withColumns(alone).unionByName(portions)
 
 
 def _with_records(rows: DataFrame) -> DataFrame:

@@ -26,8 +26,9 @@ from tickflow.schemas import MICROS, SHIFT_HORIZON
 
 # Slot width in horizons: a tick is copied with probability 1 / this.
 _SLOT_HORIZONS = 8
-# Above this many ticks in one slot of one symbol the slot is split.
-_HOT_SLOT = 2_000_000
+# Above this many ticks in one slot of one symbol, well under a minute of one
+# task's work, the slot is split.
+_HOT_SLOT = 20_000_000
 
 HIGHER = "higher"
 LOWER = "lower"

@@ -120,7 +120,10 @@ _VALIDATE = r"""with texts as (
   union all select text, 'documents' from documents
   union all select text, 'conversations' from conversations
   union all select html, 'pages' from pages
-  union all select text, 'benchmark' from benchmark),
+  union all select text, 'benchmark' from benchmark
+  union all select to_json(embedding)::varchar, 'embeddings' from embeddings
+  union all select to_json({'symbol': o_orderstatus, 'price': o_orderpriority})::varchar, 'orders' from orders
+  union all select to_json({'symbol': l_partkey, 'price': l_extendedprice})::varchar, 'lineitem' from lineitem),
 judged as (
   select origin, t, case when json_valid(t) then t end as j from texts),
 verdicts as (
@@ -152,12 +155,14 @@ ORACLE_SQL: dict[str, str] = {
     "window_stats_wire": _window_stats(LADDER_SCALED),
     "zscore_default": _zscores(LADDER, 1),
     "zscore_scaled": _zscores(LADDER_SCALED, HOUR),
+    "zscore_joined": _zscores(LADDER_SCALED, HOUR),
     "zscore_nested": f"{_scores(LADDER_SCALED, HOUR)} " + _NESTED.format(table="scores"),
     "zscore_unnested": _DOCUMENTS,
     "route_counts": f"""{_scores(LADDER_SCALED, HOUR)}
 select win as "window", count(*) as documents from scores group by win""",
     "price_shift_20s": _price_shift(20),
     "price_shift_7200s": _price_shift(LONG_HORIZON),
+    "price_shift_split": _price_shift(LONG_HORIZON),
     "first_higher": _first("higher"),
     "first_lower": _first("lower"),
     "price_shift_messages": _MESSAGES,
@@ -165,5 +170,6 @@ select win as "window", count(*) as documents from scores group by win""",
     "stream_window_stats_from_slots": _window_stats(LADDER_SCALED),
     "stream_zscore": _DOCUMENTS,
     "stream_price_shift": _SHIFT_EVENTS,
+    "stream_price_shift_eager": _SHIFT_EVENTS,
     "stream_route": _DOCUMENTS,
 }

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tickflow.operators import ingest
 from tickflow.operators.ladder import nest_stats, nested_window_stats, unnest_stats, window_stats
 from tickflow.operators.shifts import HIGHER, LOWER, price_shifts, shift_events, shift_messages
-from tickflow.operators.zscore import nested_zscores, unnest_scores, zscores
+from tickflow.operators.zscore import nested_zscores, score, unnest_scores, zscores
 from tickflow.schemas import LADDER, LADDER_SCALED, WINDOW_STATS_WIRE, ZSCORES_WIRE, Ladder
 from tickflow.session import scratch_dir, stream_settings, tune
 from tickflow.sinks.write import route_by, route_stream, run_to_end, to_wire, write_batch, write_stream
@@ -68,16 +68,20 @@ def tick_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tick_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text of five tables taken for a tick record; records per verdict."""
-    texts = [
-        ("events", "props"), ("documents", "text"), ("conversations", "text"), ("pages", "html"),
-        ("benchmark", "text"),
-    ]
+    """Texts of eight tables taken for tick records; records per verdict."""
+    def symbol_and_price(symbol: str, price: str) -> Column:
+        return F.to_json(F.struct(F.col(symbol).alias("symbol"), F.col(price).alias("price")))
+
+    texts = {
+        "events": F.col("props"), "documents": F.col("text"), "conversations": F.col("text"),
+        "pages": F.col("html"), "benchmark": F.col("text"), "embeddings": F.to_json("embedding"),
+        "orders": symbol_and_price("o_orderstatus", "o_orderpriority"),
+        "lineitem": symbol_and_price("l_partkey", "l_extendedprice"),
+    }
     inputs = [ticks_as_records(_ticks(spark, sf_dir)).withColumn("origin", F.lit("ticks"))]
     inputs += [
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").select(
-            F.col(column).alias("value"), F.lit(table).alias("origin"))
-        for table, column in texts
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").select(text.alias("value"), F.lit(table).alias("origin"))
+        for table, text in texts.items()
     ]
     judged = ingest.validate_ticks(reduce(DataFrame.unionByName, inputs))
     verdict = F.coalesce("reject_reason", F.lit("good")).alias("verdict")
@@ -132,6 +136,13 @@ def _zscores(ladder: Ladder, grain: int) -> Query:
     return query
 
 
+def zscore_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices joined to statistics, as for statistics that are stored already."""
+    ticks = _ticks(spark, sf_dir)
+    joined = score(ingest.second_price(ticks, HOUR), window_stats(ticks, LADDER_SCALED))
+    return _tidy(joined, *_SCORE_DOUBLES)
+
+
 def zscore_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = nested_zscores(_ticks(spark, sf_dir), LADDER_SCALED, HOUR)
     return _tidy(nested.select("timestamp", "symbol", F.array_join("zscores.window", ",").alias("windows")))
@@ -160,6 +171,12 @@ def _price_shift(horizon: int) -> Query:
     return query
 
 
+def price_shift_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With every slot of a usual size taken for a hot one, and split."""
+    return price_shifts(_ticks(spark, sf_dir, "event_id"), LONG_HORIZON, hot_slot=20).select(
+        "event_id", "higher_window", "higher_found", "lower_window", "lower_found")
+
+
 def _first(kind: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         events = shift_events(price_shifts(_ticks(spark, sf_dir), LONG_HORIZON))
@@ -222,15 +239,17 @@ def stream_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tidy(_no_flush(unnest_scores(nested)), "zscore_price")
 
 
-def stream_price_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scratch_dir(spark, "shifts")
+def _stream_price_shift(emit: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = scratch_dir(spark, "shifts")
 
-    def start(records: DataFrame, checkpoint: str):
-        shifts = streaming_price_shifts(ingest.parse_ticks(records), LONG_HORIZON)
-        return write_stream(shifts, checkpoint, "parquet", out, available_now=True)
+        def start(records: DataFrame, checkpoint: str):
+            shifts = streaming_price_shifts(ingest.parse_ticks(records), LONG_HORIZON, emit=emit)
+            return write_stream(shifts, checkpoint, "parquet", out, available_now=True)
 
-    replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2)
-    return _tidy(_no_flush(spark.read.parquet(out)).drop("price"))
+        replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2)
+        return _tidy(_no_flush(spark.read.parquet(out)).drop("price"))
+    return query
 
 
 def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,17 +277,20 @@ QUERIES: dict[str, Query] = {
     "window_stats_wire": window_stats_wire,
     "zscore_default": _zscores(LADDER, 1),
     "zscore_scaled": _zscores(LADDER_SCALED, HOUR),
+    "zscore_joined": zscore_joined,
     "zscore_nested": zscore_nested,
     "zscore_unnested": zscore_unnested,
     "route_counts": route_counts,
     "price_shift_20s": _price_shift(20),
     "price_shift_7200s": _price_shift(LONG_HORIZON),
+    "price_shift_split": price_shift_split,
     "first_higher": _first(HIGHER),
     "first_lower": _first(LOWER),
     "price_shift_messages": price_shift_messages,
     "stream_window_stats": stream_window_stats,
     "stream_window_stats_from_slots": stream_window_stats_from_slots,
     "stream_zscore": stream_zscore,
-    "stream_price_shift": stream_price_shift,
+    "stream_price_shift": _stream_price_shift("final"),
+    "stream_price_shift_eager": _stream_price_shift("eager"),
     "stream_route": stream_route,
 }

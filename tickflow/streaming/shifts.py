@@ -88,7 +88,9 @@ def _slot_state(limit: int, width: int, eager: bool):
             if ready.any():
                 yield pd.DataFrame({
                     "symbol": symbol, "us": us[ready], "price": price[ready], "kind": kind, "gap": gap[ready]})
-        marks[over] &= ~np.uint8(_ASKS)
+        # What the watermark is past by the limit neither asks nor answers any more.
+        live = us + limit > watermark
+        us, price, marks = us[live], price[live], marks[live]
 
         open_until = slot + width + limit
         waiting = us[(marks & _ASKS) > 0]
