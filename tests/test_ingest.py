@@ -51,6 +51,9 @@ def test_malformed_time_is_null(spark):
     (None, "empty"), ("", "empty"), ("  ", "empty"), ("null", "empty"), ("{ }", "empty"), ("[]", "empty"),
     ('""', "empty"), ("0", "empty"), ("0.0", "empty"), ("false", "empty"),
     ("not json", "not_json"), ('{"symbol":', "not_json"),
+    (GOOD + " tail", "not_json"), (GOOD + GOOD, "not_json"), ("12 words", "not_json"), ("1,2", "not_json"),
+    (GOOD + "],[1", "not_json"), (GOOD + "]", "not_json"),
+    (" " + GOOD + "\n", None), ('{"symbol":"A","price":"x","price":"2"}', None),
     ("[1]", "not_object"), ("3", "not_object"), ("true", "not_object"), ('"x"', "not_object"),
     ('{"symbol":"A"}', "missing_field"), ('{"price":"1"}', "missing_field"), ('{"a":1}', "missing_field"),
     ('{"symbol":"A","price":"abc"}', "bad_price"), ('{"symbol":"A","price":null}', "bad_price"),

@@ -45,26 +45,39 @@ def validate_ticks(records: DataFrame, value: str = "value") -> DataFrame:
     A good record is a JSON object that has a symbol (of any type) and a price
     that reads as a number. NaN and infinity pass, marked by `non_finite`.
     """
+    # The parser stops after the first value of a text. Behind a text and its
+    # own length in one array, nothing can be left over unseen.
+    length = F.length("_text").cast("string")
+    whole = F.concat(F.lit("["), F.col("_text"), F.lit(","), length, F.lit("]"))
+    parts = F.col("_parts")
+    closed = F.try_variant_get(F.get(parts, 1), "$", "string") == length
     # One projection per step, so that every text is parsed once.
     read = (
         records.withColumn("_text", F.col(value).cast("string"))
         .withColumn("_hollow", F.col("_text").isNull() | F.col("_text").rlike(_HOLLOW))
-        .withColumn("_json", F.when(~F.col("_hollow"), F.try_parse_json("_text")))
-        .withColumn("_fields", F.try_variant_get("_json", "$", "map<string,variant>"))
-        .withColumn("_price", price_of(F.try_variant_get("_json", "$.price", "string")))
+        .withColumn("_array", F.when(~F.col("_hollow"), F.try_parse_json(whole)))
+        .withColumn("_parts", F.try_variant_get("_array", "$", "array<variant>"))
+        .withColumn("_json", F.when((F.size(parts) == 2) & closed, F.get(parts, 0)))
+        .withColumn("_price_text", F.try_variant_get("_json", "$.price", "string"))
+        .withColumn("_price", price_of(F.col("_price_text")))
     )
-    price, fields = F.col("_price"), F.col("_fields")
+    price = F.col("_price")
+
+    def has(field: str) -> Column:
+        # A field that holds JSON null is there.
+        return F.try_variant_get("_json", f"$.{field}", "variant").isNotNull()
+
+    is_object = F.try_variant_get("_json", "$", "map<string,variant>").isNotNull()
     reason = (
         F.when(F.col("_hollow"), EMPTY)
         .when(F.col("_json").isNull(), NOT_JSON)
-        .when(fields.isNull(), NOT_OBJECT)
-        .when(~(F.map_contains_key(fields, "symbol") & F.map_contains_key(fields, "price")), MISSING_FIELD)
+        .when(~(has("symbol") & has("price")), F.when(is_object, MISSING_FIELD).otherwise(NOT_OBJECT))
         .when(price.isNull(), BAD_PRICE)
     )
     odd = F.isnan(price) | (F.abs(price) == F.lit(float("inf")))
     judged = read.withColumn("reject_reason", reason).withColumn(
         "non_finite", F.coalesce(F.col("reject_reason").isNull() & odd, F.lit(False)))
-    return judged.drop("_text", "_hollow", "_json", "_fields", "_price")
+    return judged.drop("_text", "_hollow", "_array", "_parts", "_json", "_price_text", "_price")
 
 
 def good(validated: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     # Windows are aligned to the epoch, and NTZ columns are read as UTC.
     "spark.sql.session.timeZone": "UTC",
+    # A record that names a field twice is read with the last value.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
