@@ -3,13 +3,15 @@ import random
 
 from pyspark.sql import functions as F
 
-from tickflow.operators.ladder import window_stats
+from tickflow.operators.ingest import from_wire
+from tickflow.operators.ladder import unnest_stats, window_stats
 from tickflow.operators.shifts import price_shifts
 from tickflow.operators.zscore import zscores
 from tickflow.plans.jobs import (
-    End, start_ingest, start_load, start_load_each, start_price_shifts, start_window_stats, start_zscores,
+    End, start_ingest, start_load, start_load_each, start_price_shifts, start_slot_moments, start_window_stats,
+    start_window_stats_from_slots, start_zscores,
 )
-from tickflow.schemas import Ladder
+from tickflow.schemas import WINDOW_STATS_WIRE, Ladder
 from tickflow.session import stream_settings
 from tickflow.sinks.write import run_to_end, write_batch
 from tickflow.sources.ticks import ticks_as_records
@@ -61,6 +63,22 @@ def test_stages_from_ticks_to_documents(spark, ticks_of, tmp_path):
         assert got == sorted(r[f"{kind}_window"] for r in shifts)
 
 
+def test_window_stats_in_two_jobs(spark, ticks_of, tmp_path):
+    rows = [("A", float(i % 7), 1_700_000_010 * S + i * S // 2) for i in range(400)]
+    ticks, slots, stats = (str(tmp_path / n) for n in ("ticks", "slots", "stats"))
+    with stream_settings(spark, operators=4):
+        for part in (rows, [("~", 1.0, 1_700_010_000 * S)], [("~", 1.0, 1_700_020_000 * S)]):
+            write_batch(ticks_as_records(ticks_of(part)), "text", ticks)
+            run_to_end(start_slot_moments(spark, End("text", ticks), slots, str(tmp_path / "c1"), LADDER, available_now=True))
+        run_to_end(start_window_stats_from_slots(
+            spark, slots, End("text", stats), str(tmp_path / "c2"), LADDER, available_now=True))
+    nested = from_wire(spark.read.text(stats), WINDOW_STATS_WIRE).filter("symbol = 'A'")
+
+    def flat(df):
+        return sorted((r.timestamp, r.window, round(r.avg_price, 6), r.std_price and round(r.std_price, 6)) for r in df.collect())
+    assert flat(unnest_stats(nested)) == flat(window_stats(ticks_of(rows), LADDER))
+
+
 def test_ingest_publishes_good_and_keeps_rejected(spark, tmp_path):
     raw = ['{"symbol":"A","price":"1.50"}', '{"symbol":"B","price":2,"timestamp":"1999-01-01T00:00:00Z"}',
            "", "junk", '{"symbol":"A"}', '{"symbol":"A","price":"x"}']

@@ -129,6 +129,34 @@ def test_no_pairs_and_one_shuffle(ticks_of):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_hot_symbol_is_spread_over_tasks(spark, ticks_of):
+    from tickflow.functions.timeline import floor_to, micros
+    from tickflow.operators.shifts import place
+    rows = [("hot", float(i % 5), i * S) for i in range(2000)]
+    timed = ticks_of(rows).withColumn("_us", micros(F.col("timestamp"))).withColumn("_slot", floor_to(F.col("_us"), 24))
+    placed = place(timed, ["symbol", "price", "timestamp"], 3 * S, 24).repartition(4, "symbol", "_slot", "_piece")
+    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2000 * 0.5
+    assert placed.filter("not _own").count() < 2000 * 0.15
+
+
+def test_split_pieces_are_of_bounded_size(spark, ticks_of):
+    from tickflow.functions.timeline import floor_to, micros
+    from tickflow.operators.hot_slots import split_placement
+    rows = [("hot", float((i * 7919) % 1000), i) for i in range(2000)] + [("hot", float(i), 5000) for i in range(2000)]
+    timed = ticks_of(rows).withColumn("_us", micros(F.col("timestamp"))).withColumn("_slot", floor_to(F.col("_us"), 24))
+    counts = timed.groupBy("symbol", "_slot").agg(F.count(F.lit(1)).alias("_ticks"))
+    placed = split_placement(timed, counts, ["symbol", "price", "timestamp"], 3 * S, 24, 250, len(rows))
+    own = placed.filter("_own").groupBy("_slot", "_piece").count().collect()
+    assert sum(r["count"] for r in own) == len(rows) and len(own) >= 14
+    assert max(r["count"] for r in own) < 600
+
+
+def test_no_count_without_a_limit(ticks_of):
+    rows = random_rows(5, 80, 20 * S, 0)
+    assert got_shifts(price_shifts(ticks_of(rows), 2, None)) == expected_shifts(rows, 2)
+
+
 @settings(max_examples=300, deadline=None)
 @given(
     st.lists(st.tuples(

@@ -2,7 +2,7 @@
 
 Slot and horizon arithmetic is done on longs: exact, inside code generation,
 and the same for TIMESTAMP and TIMESTAMP_NTZ columns. An NTZ column is read as
-UTC, so the session zone has to be UTC (`require_utc`).
+UTC, so with one the session zone has to be UTC (`require_utc`).
 """
 
 from __future__ import annotations
@@ -25,7 +25,11 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def time_type(df: DataFrame, column: str) -> str:
-    return df.schema[column].dataType.simpleString()
+    """Type name of a time column that `micros` can read in this session."""
+    name = df.schema[column].dataType.simpleString()
+    if name == "timestamp_ntz":
+        require_utc(df.sparkSession)
+    return name
 
 
 def micros(ts: Column) -> Column:

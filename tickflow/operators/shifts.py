@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickflow.functions.beyond import Scan
-from tickflow.functions.timeline import floor_to, iso_instant, micros
+from tickflow.functions.timeline import floor_to, iso_instant, micros, require_utc, time_type
 from tickflow.schemas import MICROS, SHIFT_HORIZON
 
 # Slot width in horizons: a tick is copied with probability 1 / this.
@@ -34,7 +34,7 @@ HIGHER = "higher"
 LOWER = "lower"
 
 
-def price_shifts(ticks: DataFrame, horizon: int = SHIFT_HORIZON, hot_slot: int = _HOT_SLOT) -> DataFrame:
+def price_shifts(ticks: DataFrame, horizon: int = SHIFT_HORIZON, hot_slot: int | None = _HOT_SLOT) -> DataFrame:
     """All columns of `ticks` plus `higher_window, higher_found, lower_window, lower_found`.
 
     A window is in seconds, cut to whole milliseconds, and `horizon` where
@@ -42,20 +42,22 @@ def price_shifts(ticks: DataFrame, horizon: int = SHIFT_HORIZON, hot_slot: int =
     tick gives one row, copies included.
 
     Runs one small job first: the largest number of ticks in a slot decides
-    whether slots have to be split.
+    whether slots have to be split. `hot_slot=None` leaves that out, for data
+    whose ticks are known to be spread over time.
     """
     if ticks.isStreaming:
         raise ValueError("on a stream use tickflow.streaming.shifts.streaming_price_shifts")
     limit = (horizon + 1) * MICROS
     width = _SLOT_HORIZONS * (horizon + 1)
+    time_type(ticks, "timestamp")
     timed = (
         ticks.filter(F.col("price").isNotNull() & F.col("timestamp").isNotNull())
         .withColumn("_us", micros(F.col("timestamp")))
         .withColumn("_slot", floor_to(F.col("_us"), width))
     )
     counts = timed.groupBy("symbol", "_slot").agg(F.count(F.lit(1)).alias("_ticks"))
-    busiest = counts.agg(F.max("_ticks")).first()[0] or 0
-    split = busiest > hot_slot
+    busiest = 0 if hot_slot is None else counts.agg(F.max("_ticks")).first()[0] or 0
+    split = hot_slot is not None and busiest > hot_slot
     if split:
         from tickflow.operators.hot_slots import split_placement
         placed = split_placement(timed, counts, ticks.columns, limit, width, hot_slot, busiest)
@@ -162,6 +164,8 @@ def shift_events(shifts: DataFrame) -> DataFrame:
 
 def shift_messages(events: DataFrame) -> DataFrame:
     """`kind, value`: the wire form, which has no symbol."""
+    require_utc(events.sparkSession)
+
     def message(kind: str) -> Column:
         return F.to_json(F.struct(
             iso_instant(F.col("timestamp")).alias("timestamp"),

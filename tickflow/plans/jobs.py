@@ -24,7 +24,9 @@ from tickflow.schemas import (
 )
 from tickflow.sinks.write import route_stream, route_stream_each, to_wire, write_batch, write_stream
 from tickflow.sources.ticks import read_records
-from tickflow.streaming.ladder import streaming_nested_stats, streaming_window_stats
+from tickflow.streaming.ladder import (
+    SLOTS_SCHEMA, slot_moments_stream, streaming_nested_stats, streaming_window_stats, window_stats_from_slots,
+)
 from tickflow.streaming.shifts import streaming_price_shifts
 from tickflow.streaming.zscore import streaming_nested_scores
 
@@ -82,6 +84,25 @@ def start_window_stats(
     return stats.start(to_wire(streaming_nested_stats(per_window, ladder)), checkpoint, available_now)
 
 
+def start_slot_moments(
+    spark: SparkSession, ticks: End, slots_path: str, checkpoint: str, ladder: Ladder = LADDER,
+    lateness: int = LATENESS, available_now: bool = False,
+) -> StreamingQuery:
+    """First half of the window statistics in two jobs, which reads the ticks once."""
+    moments = slot_moments_stream(parse_ticks(ticks.stream(spark)), ladder, lateness)
+    return write_stream(moments, checkpoint, "parquet", slots_path, available_now=available_now)
+
+
+def start_window_stats_from_slots(
+    spark: SparkSession, slots_path: str, stats: End, checkpoint: str, ladder: Ladder = LADDER,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Second half: slots to nested window statistics."""
+    slots = spark.readStream.schema(SLOTS_SCHEMA).parquet(slots_path)
+    nested = streaming_nested_stats(window_stats_from_slots(slots, ladder), ladder)
+    return stats.start(to_wire(nested), checkpoint, available_now)
+
+
 def start_zscores(
     spark: SparkSession, ticks: End, stats: End, scores: End, checkpoint: str, ladder: Ladder = LADDER,
     grain: int = PRICE_GRAIN, lateness: int = LATENESS, available_now: bool = False,
