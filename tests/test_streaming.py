@@ -217,6 +217,38 @@ def test_route_stream_each_hands_every_route_its_rows(spark, tmp_path):
         assert rows.count() == 20 and rows.select("window").distinct().first()[0] == route
 
 
+def test_a_failed_batch_is_written_once_after_restart(spark, tmp_path):
+    out, checkpoint, calls = tmp_path / "out", str(tmp_path / "c"), []
+
+    def write_route(rows, route, batch_id):
+        calls.append(route)
+        if len(calls) == 2:
+            raise RuntimeError("lost in the middle of a batch")
+        write_batch(rows, "json", str(out / route / str(batch_id)), mode="overwrite")
+
+    def run():
+        run_to_end(route_stream_each(
+            spark.readStream.schema(documents(spark).schema).parquet(str(tmp_path / "landed")), "window",
+            ["30s", "1m", "5m"], write_route, checkpoint, available_now=True))
+
+    landed_documents(spark, tmp_path)
+    with pytest.raises(Exception, match="lost in the middle"):
+        run()
+    run()
+    assert calls == ["30s", "1m", "30s", "1m", "5m"]
+    assert sum(spark.read.json(str(out / r / "0")).count() for r in ("30s", "1m", "5m")) == 60
+
+
+def test_scratch_folders_are_new_and_shared(spark):
+    from tickflow.session import scratch_dir
+
+    class OnCluster:
+        conf = {"spark.checkpoint.dir": "/shared/folder/"}
+
+    assert scratch_dir(OnCluster, "x").startswith("/shared/folder/x-")
+    assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
 def test_partitioned_stream_sink_and_restart(spark, tmp_path):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
     stream = landed_documents(spark, tmp_path)

@@ -79,13 +79,9 @@ def _scored_blocks(ticks: DataFrame, ladder: Ladder, grain: int) -> DataFrame:
     # Entries at the same `at`: one per rung, and the price (no window) if there is one.
     at_home = floor_to(F.col("slot"), ladder.block) == F.col("block")
     price_here = F.col("opened") & (F.col("slot") > F.col("block"))
-    price_entry = F.array(F.struct(F.lit(None).cast("string").alias("window"), F.col("slot").alias("at")))
-    no_entry = F.filter(price_entry, lambda e: F.lit(False))
-    entries = F.concat(
-        F.when(at_home, F.array(*rung_entries(ladder))).otherwise(no_entry),
-        F.when(price_here, price_entry).otherwise(no_entry),
-    )
-    rows = blocks.withColumn("entry", F.explode(entries)).select(
+    price_entry = F.struct(F.lit(None).cast("string").alias("window"), F.col("slot").alias("at"))
+    entries = [F.when(at_home, rung) for rung in rung_entries(ladder)] + [F.when(price_here, price_entry)]
+    rows = blocks.withColumn("entry", F.explode(F.array(*entries))).filter(F.col("entry").isNotNull()).select(
         "symbol", "block", "entry.at", "entry.window", *FIELDS,
         F.when(F.col("entry.window").isNull(), F.col("open_price")).alias("price"),
         F.col("entry.window").isNull().alias("is_price"),

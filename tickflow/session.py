@@ -71,7 +71,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     Only where none is named (tests on one machine) a local temporary folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     return tempfile.mkdtemp(prefix=f"{name}-")
