@@ -166,6 +166,10 @@ select win as "window", count(*) as documents from scores group by win""",
     "first_higher": _first("higher"),
     "first_lower": _first("lower"),
     "price_shift_messages": _MESSAGES,
+    "stream_ingest": """select 'good' as outcome, count(*) as records from events
+union all select 'missing_field', count(*) from events
+union all select 'bad_price', count(*) from orders""",
+    "stream_hour_price": _second_price(HOUR),
     "stream_window_stats": _window_stats(LADDER_SCALED),
     "stream_window_stats_from_slots": _window_stats(LADDER_SCALED),
     "stream_zscore": _DOCUMENTS,

@@ -16,6 +16,7 @@ from tickflow.operators import ingest
 from tickflow.operators.ladder import nest_stats, nested_window_stats, unnest_stats, window_stats
 from tickflow.operators.shifts import HIGHER, LOWER, price_shifts, shift_events, shift_messages
 from tickflow.operators.zscore import nested_zscores, score, unnest_scores, zscores
+from tickflow.plans.jobs import End, start_ingest
 from tickflow.schemas import LADDER, LADDER_SCALED, WINDOW_STATS_WIRE, ZSCORES_WIRE, Ladder
 from tickflow.session import scratch_dir, stream_settings, tune
 from tickflow.sinks.write import route_by, route_stream, run_to_end, to_wire, write_batch, write_stream
@@ -190,6 +191,34 @@ def price_shift_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streams, played to their end ----------------------------------------------
 
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records validated, stamped and published, the rejected ones kept: records per outcome."""
+    ticks = _ticks(spark, sf_dir)
+    raw, published, rejected = (scratch_dir(spark, n) for n in ("raw", "published", "rejected"))
+    props = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("props").alias("value"))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.to_json(F.struct(
+        F.col("o_orderstatus").alias("symbol"), F.col("o_orderpriority").alias("price"))).alias("value"))
+    write_batch(ticks_as_records(ticks).unionByName(props).unionByName(orders), "text", raw)
+    run_to_end(start_ingest(
+        spark, End("text", raw), End("text", published), End("text", rejected), scratch_dir(spark, "checkpoint"),
+        available_now=True))
+    good = ingest.parse_ticks(read_records(spark, "text", published)).filter(
+        F.col("price").isNotNull() & F.col("timestamp").isNotNull()).select(F.lit("good").alias("outcome"))
+    bad = read_records(spark, "text", rejected).select(F.get_json_object("value", "$.reject_reason").alias("outcome"))
+    return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("records"))
+
+
+def stream_hour_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_dir(spark, "prices")
+
+    def start(records: DataFrame, checkpoint: str):
+        prices = ingest.second_price(ingest.parse_ticks(records), HOUR)
+        return write_stream(prices, checkpoint, "parquet", out, available_now=True)
+
+    replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2)
+    return _tidy(_no_flush(spark.read.parquet(out)), "price")
+
+
 def stream_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks to nested statistics on the wire: aggregate, union, aggregate."""
     out = scratch_dir(spark, "stats")
@@ -287,6 +316,8 @@ QUERIES: dict[str, Query] = {
     "first_higher": _first(HIGHER),
     "first_lower": _first(LOWER),
     "price_shift_messages": price_shift_messages,
+    "stream_ingest": stream_ingest,
+    "stream_hour_price": stream_hour_price,
     "stream_window_stats": stream_window_stats,
     "stream_window_stats_from_slots": stream_window_stats_from_slots,
     "stream_zscore": stream_zscore,
