@@ -91,12 +91,15 @@ def merge_rungs(entries: DataFrame, *carried: str) -> DataFrame:
     """Merge slot moments per window, inside the partitions they are in."""
     keys = ["symbol", "block", "at", "window"]
     whole = Window.partitionBy(*keys)
-    centred = entries.withColumn(
-        "mean", mean_of(F.sum("total").over(whole), F.sum("n").over(whole)))
-    merged = centred.groupBy(*keys).agg(
-        F.first("mean").alias("avg_price"),
-        F.sum("n").alias("n"),
-        F.sum(spread_around(F.col("mean"))).alias("spread"),
+    known = entries.withColumns({
+        "all_n": F.sum("n").over(whole),
+        "all_total": F.sum("total").over(whole),
+    })
+    mean = mean_of(F.col("all_total"), F.col("all_n"))
+    merged = known.groupBy(*keys).agg(
+        F.first("all_n").alias("n"),
+        F.first(mean).alias("avg_price"),
+        F.sum(spread_around(mean)).alias("spread"),
         F.min("lo").alias("lo"),
         F.max("hi").alias("hi"),
         *[F.first(c).alias(c) for c in carried],
