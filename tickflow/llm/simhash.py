@@ -205,9 +205,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **h
     Of rows that agree in the smallest doc_id, the one whose text has the
     smallest digest stays; of rows that agree in that too, one.
     """
-    key = F.concat(
-        F.when(F.col(doc_id).isNull(), F.lit("~")).otherwise(F.format_string("%020d", F.col(doc_id).cast("decimal(20,0)") + F.lit(2**63))),
-        F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    number = F.col(doc_id).cast("long").bitwiseXOR(F.lit(-2**63))  # as hex digits, in the order of the ids
+    key = F.concat(F.coalesce(F.lpad(F.hex(number), 16, "0"), F.lit("~")),
+                   F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
     keyed = docs.select(key.alias("key"), F.struct("*").alias("row"))
     linked = _linked(docs.select(key.alias("key"), F.col(text).cast("binary").alias("text")), "string",
                      how.get("shingle", SHINGLE), how.get("radius", RADIUS), how.get("shard_rows", SHARD_ROWS))
