@@ -136,7 +136,8 @@ def _members(batch: pa.RecordBatch, column: str, part: _Slice, keys: np.ndarray)
 
 def _windows(window: int, gram: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, _SLICE_BYTES):
+        near = (batch.filter(batch.column("keys").is_valid()) for batch in batches)
+        for batch in slices(near, _SLICE_BYTES):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             part = _Slice(batch.column("text"), window, gram)
             hit = _members(batch, "keys", part, part.anchors)
@@ -193,7 +194,8 @@ def parsed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     known = texts.filter("doc_id is not null")
     anchors = _with_smaller(known.mapInArrow(_anchors(window, gram), _EVIDENCE), later_only=False)
-    near = texts.join(anchors, "doc_id").mapInArrow(_windows(window, gram), _EVIDENCE)
+    # Left joins both times, so that the texts are dealt out by document once and read twice.
+    near = texts.join(anchors, "doc_id", "left").mapInArrow(_windows(window, gram), _EVIDENCE)
     copies = _with_smaller(near, later_only=True)
     return texts.join(copies, "doc_id", "left").mapInArrow(
         _parse(window, gram), "doc_id long, n_words long, n_removed long, spans array<struct<start:long,length:long>>, kept_sha256 string, kept_text string")
