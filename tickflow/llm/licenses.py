@@ -4,9 +4,10 @@ Paragraphs are lines. Features are single words and pairs of neighbours in
 lower case, hashed; only those that occur in a template carry weight, so the
 model is sparse. A multinomial logistic regression over the licence families
 and the class of no licence is trained here, on the templates with other words
-around them, on parts of templates, and on at most `background_rows` paragraphs
-of the corpus (the smallest hashes; a documented bound of the sample) that have
-little in common with any template. The threshold of the unknown class is
+around them, on parts of templates, on their words in other orders, and on at
+most `background_rows` paragraphs of the corpus (the least hash of so many
+classes; a documented bound of the sample) that have little in common with any
+template. The threshold of the unknown class is
 calibrated on paragraphs held out of the training: it is the least confidence
 at which at most one in a hundred held-out paragraphs of no licence would be
 named a licence.
@@ -155,6 +156,8 @@ def _examples(spark: SparkSession, background: list[str]) -> DataFrame:
                 rows.append((" ".join([*other[:i % 6], *words, *other[6:6 + i % 5]]), label))
             if len(words) > 12:
                 rows += [(" ".join(words[i:i + len(words) // 2]), label) for i in range(len(words) // 2)]
+            # The same words in another order are no licence.
+            rows += [(" ".join(order), len(FAMILIES)) for order in (words[::-1], words[::2] + words[1::2], sorted(words))]
     rows += [(text, len(FAMILIES)) for text in background]
     return spark.createDataFrame(rows, "text string, label int").withColumn("label", F.col("label").cast("double"))
 
@@ -169,9 +172,12 @@ def train(docs: DataFrame, text: str = "text", background_rows: int = BACKGROUND
         numbers[bucket] = number
     lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("text"))
     # A notice shares most of its features with a template; other text shares few.
-    plain = lines.filter(F.size(_feature_numbers(F.col("text"), numbers)) <= 0.3 * F.size(_tokens(F.col("text"))))
-    picked = plain.select(F.xxhash64("text").alias("h"), "text").orderBy("h").limit(background_rows)
-    background = [r["text"][:2000] for r in picked.collect()]
+    plain = lines.filter(F.size(_feature_numbers(F.col("text"), numbers)) <= 0.5 * F.size(_tokens(F.col("text"))))
+    # The least hash of each of so many classes of hashes: a few numbers from each task.
+    hashed = plain.select(F.xxhash64("text").alias("h"))
+    picked = hashed.groupBy(F.pmod("h", F.lit(background_rows))).agg(F.min("h").alias("h")).select("h")
+    texts = lines.join(F.broadcast(picked), F.xxhash64("text") == F.col("h")).groupBy("h").agg(F.min(F.substring("text", 1, 2000)))
+    background = [r[1] for r in texts.orderBy("h").collect()]  # at most background_rows
     held_out, used = background[::4], [b for i, b in enumerate(background) if i % 4]
     examples = _examples(spark, used).withColumn("numbers", _feature_numbers(F.col("text"), numbers))
     dense = F.transform(F.sequence(F.lit(0), F.lit(len(buckets) - 1)), lambda i: F.array_contains("numbers", i).cast("double"))
@@ -214,11 +220,11 @@ def scanned(docs: DataFrame, text: str = "text", model: Model | None = None, con
     return judged.select("row", "paragraph", licence.alias("licence"))
 
 
-def licence_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+def licence_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: Model | None = None,
+                   background_rows: int = BACKGROUND_ROWS, containment: float = CONTAINMENT) -> DataFrame:
     """One row per document: doc_id, n_paragraphs, n_licence, licences (sorted families, `unknown` among them)."""
     numbered = docs.select(F.monotonically_increasing_id().alias("id"), F.col(doc_id).alias("doc_id"), F.col(text).alias(text))
-    model = how.pop("model", None) or train(docs, text)
-    judged = scanned(numbered, text, model, **how)
+    judged = scanned(numbered, text, model or train(docs, text, background_rows), containment)
     per = judged.groupBy("row.id", "row.doc_id").agg(
         F.count_if(F.col("paragraph").rlike(_TOKEN)).alias("n_paragraphs"), F.count("licence").alias("n_licence"),
         F.array_sort(F.collect_set("licence")).alias("licences"))
