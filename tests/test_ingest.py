@@ -95,3 +95,24 @@ def test_records_round_trip(spark, ticks_of):
     back = ingest.parse_ticks(ticks_as_records(ticks))
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, ticks.collect()))
     assert isinstance(back.first().timestamp, dt.datetime)
+
+
+def test_text_behind_a_closed_array_is_not_json(spark):
+    from tickflow.operators.ingest import validate_ticks
+    texts = ['{"symbol":"A","price":"1"},30]', '{"symbol":"A","price":"1"},31]x', '{"symbol":"A","price":"1"}]', '{"symbol":"A","price":"1"}]x',
+             '{"symbol":"A","price":"1"},0', '{"symbol":"A","price":"1"}],[0', ' {"symbol":"A","price":"1"} ', '[{"symbol":"A","price":"1"}]']
+    got = validate_ticks(spark.createDataFrame([(t,) for t in texts], "value string"))
+    reasons = {r.value: r.reject_reason for r in got.collect()}
+    assert [reasons[t] for t in texts] == ["not_json"] * 6 + [None, "not_object"]
+
+
+def test_validation_asks_for_its_setting(spark):
+    import pytest
+    from tickflow.operators.ingest import validate_ticks
+    key = "spark.sql.variant.allowDuplicateKeys"
+    spark.conf.set(key, "false")
+    try:
+        with pytest.raises(ValueError, match=key):
+            validate_ticks(spark.createDataFrame([("{}",)], "value string"))
+    finally:
+        spark.conf.set(key, "true")

@@ -1,6 +1,8 @@
 import json
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tickflow.operators.ingest import from_wire
@@ -13,7 +15,7 @@ from tickflow.plans.jobs import (
 )
 from tickflow.schemas import WINDOW_STATS_WIRE, Ladder
 from tickflow.session import stream_settings
-from tickflow.sinks.write import run_to_end, write_batch
+from tickflow.sinks.write import read_routes, route_by, route_stream, route_stream_each, run_to_end, write_batch
 from tickflow.sources.ticks import ticks_as_records
 
 S = 1_000_000
@@ -31,7 +33,7 @@ def test_stages_from_ticks_to_documents(spark, ticks_of, tmp_path):
         write_batch(ticks_as_records(ticks_of(part)), "text", where["ticks"])
 
     land(rows)
-    with stream_settings(spark, operators=4):
+    with stream_settings(spark, partitions=2):
         for tick in flush:
             run_to_end(start_window_stats(
                 spark, ends["ticks"], ends["stats"], str(tmp_path / "c1"), LADDER, available_now=True))
@@ -66,7 +68,7 @@ def test_stages_from_ticks_to_documents(spark, ticks_of, tmp_path):
 def test_window_stats_in_two_jobs(spark, ticks_of, tmp_path):
     rows = [("A", float(i % 7), 1_700_000_010 * S + i * S // 2) for i in range(400)]
     ticks, slots, stats = (str(tmp_path / n) for n in ("ticks", "slots", "stats"))
-    with stream_settings(spark, operators=4):
+    with stream_settings(spark, partitions=2):
         for part in (rows, [("~", 1.0, 1_700_010_000 * S)], [("~", 1.0, 1_700_020_000 * S)]):
             write_batch(ticks_as_records(ticks_of(part)), "text", ticks)
             run_to_end(start_slot_moments(spark, End("text", ticks), slots, str(tmp_path / "c1"), LADDER, available_now=True))
@@ -93,3 +95,50 @@ def test_ingest_publishes_good_and_keeps_rejected(spark, tmp_path):
     assert all(t["timestamp"] > "2024" and t["timestamp"].endswith("+00:00") for t in ticks)
     rejected = [json.loads(r.value) for r in spark.read.text(where["rejected"]).collect()]
     assert sorted(r["reject_reason"] for r in rejected) == ["bad_price", "missing_field", "not_json"]
+
+
+class _FailsOnce(End):
+    failed = False
+
+    def write(self, df, part=None):
+        if not _FailsOnce.failed:
+            _FailsOnce.failed = True
+            raise OSError("lost")
+        super().write(df, part)
+
+
+def test_a_replay_between_two_outputs_adds_nothing_downstream(spark, ticks_of, tmp_path):
+    where = {n: str(tmp_path / n) for n in ("raw", "ticks", "rejected", "copy")}
+    rows = [("A", float(i), 1_700_000_000 * S + i * S) for i in range(10)]
+    write_batch(ticks_as_records(ticks_of(rows)).unionByName(spark.createDataFrame([("junk",)], "value string")), "text", where["raw"])
+    ends = End("text", where["raw"]), End("text", where["ticks"]), _FailsOnce("text", where["rejected"])
+
+    def downstream():
+        stream = End("text", where["ticks"]).stream(spark).select("value")
+        run_to_end(End("text", where["copy"]).start(stream, str(tmp_path / "c2"), True))
+    with pytest.raises(Exception, match="lost"):
+        run_to_end(start_ingest(spark, *ends, str(tmp_path / "c1"), available_now=True))
+    downstream()
+    run_to_end(start_ingest(spark, *ends, str(tmp_path / "c1"), available_now=True))
+    downstream()
+    assert spark.read.text(where["copy"]).count() == 10
+    assert spark.read.text(where["rejected"]).count() == 1
+
+
+def test_routes_keep_labels_that_look_like_numbers(spark, tmp_path):
+    rows = spark.createDataFrame([("1d", 1), ("2d", 2), ("1", 3)], "window string, n long")
+    path, stream_in, stream_out = (str(tmp_path / n) for n in "abc")
+    route_by(rows, "window", path)
+    assert sorted(map(tuple, read_routes(spark, "window", path, rows.schema).collect())) == [("1", 3), ("1d", 1), ("2d", 2)]
+    rows.write.parquet(stream_in)
+    for _ in range(2):
+        run_to_end(route_stream(spark.readStream.schema(rows.schema).parquet(stream_in), "window", stream_out, str(tmp_path / "d"), available_now=True))
+    assert sorted(map(tuple, read_routes(spark, "window", stream_out, rows.schema).collect())) == [("1", 3), ("1d", 1), ("2d", 2)]
+
+
+def test_a_window_without_destination_is_an_error(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("z", 2)], "window string, n long")
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    with pytest.raises(Exception, match="no destination for window = 'z'"):
+        run_to_end(route_stream_each(stream, "window", ["a"], lambda *_: None, str(tmp_path / "c"), available_now=True))

@@ -44,7 +44,7 @@ class Feed:
 
     def add(self, rows):
         ticks_as_records(self.ticks_of(rows).coalesce(1)).write.mode("append").text(self.landing)
-        with stream_settings(self.spark, operators=4):
+        with stream_settings(self.spark, partitions=2):
             records = read_records(self.spark, "text", self.landing, stream=True)
             run_to_end(write_stream(
                 self.build(parse_ticks(records)), self.checkpoint, "parquet", self.out, available_now=True))
@@ -85,7 +85,7 @@ def test_nested_stats_and_scores_through_the_wire(spark, ticks_of, tmp_path):
         stats = streaming_window_stats(parse_ticks(records), LADDER)
         return write_stream(to_wire(streaming_nested_stats(stats, LADDER)), checkpoint, "text", stats_out, available_now=True)
 
-    replay_ticks(spark, ticks, start_stats, steps=2, flush_twice=True, operators=3)
+    replay_ticks(spark, ticks, start_stats, steps=2, flush_twice=True, partitions=2)
     stats = unnest_stats(from_wire(read_records(spark, "text", stats_out), WINDOW_STATS_WIRE))
     assert rows_of(stats, *STATS) == rows_of(window_stats(ticks, LADDER), *STATS)
 
@@ -95,7 +95,7 @@ def test_nested_stats_and_scores_through_the_wire(spark, ticks_of, tmp_path):
             parse_ticks(records), unnest_stats(from_wire(wire, WINDOW_STATS_WIRE)), LADDER)
         return write_stream(to_wire(nested), checkpoint, "text", scores_out, available_now=True)
 
-    replay_ticks(spark, ticks, start_scores, steps=1, operators=3)
+    replay_ticks(spark, ticks, start_scores, steps=1, partitions=2)
     got = unnest_scores(from_wire(read_records(spark, "text", scores_out), ZSCORES_WIRE))
     columns = ("timestamp", "symbol", "window", "zscore_price")
     assert rows_of(got, *columns) == rows_of(zscores(ticks, LADDER), *columns)
@@ -111,7 +111,7 @@ def test_stats_from_slots(spark, ticks_of, tmp_path):
             slot_moments_stream(parse_ticks(records), LADDER), checkpoint, "parquet", landed, available_now=True)
 
     replay_ticks(spark, ticks, start, steps=2, flush_twice=True)
-    with stream_settings(spark, operators=2):
+    with stream_settings(spark, partitions=2):
         slots = spark.readStream.schema(SLOTS_SCHEMA).parquet(landed)
         run_to_end(write_stream(
             window_stats_from_slots(slots, LADDER).drop("span"), str(tmp_path / "c"), "parquet", out, available_now=True))
@@ -259,6 +259,16 @@ def test_partitioned_stream_sink_and_restart(spark, tmp_path):
 
 def test_stream_settings_are_given_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    with stream_settings(spark, operators=4):
+    with stream_settings(spark, partitions=2):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_stream_settings_leave_the_number_of_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4000")
+    try:
+        with stream_settings(spark):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "4000"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,25 +39,38 @@ def parse_ticks(records: DataFrame, value: str = "value") -> DataFrame:
     return parsed.select("symbol", price_of(F.col("price")).alias("price"), "timestamp")
 
 
+def require_duplicate_keys(spark: SparkSession) -> None:
+    """A record that names a field twice is read with the last value only under this setting."""
+    key = "spark.sql.variant.allowDuplicateKeys"
+    if spark.conf.get(key) != "true":
+        raise ValueError(f"{key} must be true; tickflow.session.tune sets it")
+
+
 def validate_ticks(records: DataFrame, value: str = "value") -> DataFrame:
     """Every record with `reject_reason` (null = good) and `non_finite`.
 
     A good record is a JSON object that has a symbol (of any type) and a price
     that reads as a number. NaN and infinity pass, marked by `non_finite`.
     """
-    # The parser stops after the first value of a text. Behind a text and its
-    # own length in one array, nothing can be left over unseen.
-    length = F.length("_text").cast("string")
-    whole = F.concat(F.lit("["), F.col("_text"), F.lit(","), length, F.lit("]"))
-    parts = F.col("_parts")
-    closed = F.try_variant_get(F.get(parts, 1), "$", "string") == length
-    # One projection per step, so that every text is parsed once.
+    require_duplicate_keys(records.sparkSession)
+
+    def in_array(end: str) -> Column:
+        return F.try_parse_json(F.concat(F.lit("["), F.col("_text"), F.lit(end)))
+
+    def element(array: str, i: int) -> Column:
+        return F.try_variant_get(array, f"$[{i}]", "variant")
+
+    # The parser stops after the first value of a text. A text that closes the
+    # array it is put in, to go on behind it, shows the same elements whether
+    # another one follows or not; one whole value shows one, then two.
+    alone = element("_array", 0).isNotNull() & element("_array", 1).isNull()
+    # One projection per step, so that every text is parsed once each way.
     read = (
         records.withColumn("_text", F.col(value).cast("string"))
         .withColumn("_hollow", F.col("_text").isNull() | F.col("_text").rlike(_HOLLOW))
-        .withColumn("_array", F.when(~F.col("_hollow"), F.try_parse_json(whole)))
-        .withColumn("_parts", F.try_variant_get("_array", "$", "array<variant>"))
-        .withColumn("_json", F.when((F.size(parts) == 2) & closed, F.get(parts, 0)))
+        .withColumn("_array", F.when(~F.col("_hollow"), in_array("]")))
+        .withColumn("_longer", F.when(alone, in_array(",0]")))
+        .withColumn("_json", F.when(element("_longer", 1).isNotNull(), element("_array", 0)))
         .withColumn("_price_text", F.try_variant_get("_json", "$.price", "string"))
         .withColumn("_price", price_of(F.col("_price_text")))
     )
@@ -67,7 +80,7 @@ def validate_ticks(records: DataFrame, value: str = "value") -> DataFrame:
         # A field that holds JSON null is there.
         return F.try_variant_get("_json", f"$.{field}", "variant").isNotNull()
 
-    is_object = F.try_variant_get("_json", "$", "map<string,variant>").isNotNull()
+    is_object = F.col("_text").rlike(r"^\s*\{")
     reason = (
         F.when(F.col("_hollow"), EMPTY)
         .when(F.col("_json").isNull(), NOT_JSON)
@@ -77,7 +90,7 @@ def validate_ticks(records: DataFrame, value: str = "value") -> DataFrame:
     odd = F.isnan(price) | (F.abs(price) == F.lit(float("inf")))
     judged = read.withColumn("reject_reason", reason).withColumn(
         "non_finite", F.coalesce(F.col("reject_reason").isNull() & odd, F.lit(False)))
-    return judged.drop("_text", "_hollow", "_array", "_parts", "_json", "_price_text", "_price")
+    return judged.drop("_text", "_hollow", "_array", "_longer", "_json", "_price_text", "_price")
 
 
 def good(validated: DataFrame) -> DataFrame:
@@ -111,5 +124,7 @@ def second_price(ticks: DataFrame, grain: int = PRICE_GRAIN, lateness: int = LAT
         from_micros(floor_to(micros(F.col("timestamp")), grain), as_type).alias("timestamp"),
     )
     if ticks.isStreaming:
+        # No watermark passes a missing time, so its group would never close.
+        floored = floored.filter(F.col("timestamp").isNotNull())
         floored = floored.withWatermark("timestamp", f"{lateness} seconds")
     return floored.groupBy("symbol", "timestamp").agg(F.avg("price").alias("price"))

@@ -42,15 +42,31 @@ class End:
     def stream(self, spark: SparkSession) -> DataFrame:
         return read_records(spark, self.fmt, self.path, stream=True, options=dict(self.options))
 
-    def start(self, df: DataFrame, checkpoint: str, available_now: bool) -> StreamingQuery:
-        return write_stream(df, checkpoint, self.fmt, self.path, dict(self.options), available_now)
+    def start(self, df: DataFrame, checkpoint: str, available_now: bool, interval: str | None = None) -> StreamingQuery:
+        return write_stream(
+            df, checkpoint, self.fmt, self.path, dict(self.options), available_now, interval=interval)
 
-    def write(self, df: DataFrame, batch_id: int | None = None) -> None:
-        """A micro-batch to a folder replaces its own sub-folder, so a replay adds nothing."""
-        if self.path is None or batch_id is None:
+    def write(self, df: DataFrame, part: str | None = None) -> None:
+        """A micro-batch to a folder has a sub-folder of its own and is written there once.
+
+        If a failure elsewhere makes Spark replay it, what was finished stays as
+        it is: the same files, which a stream that reads the folder has seen.
+        """
+        if self.path is None or part is None:
             write_batch(df, self.fmt, self.path, options=dict(self.options))
-        else:
-            write_batch(df, self.fmt, f"{self.path}/batch={batch_id}", "overwrite", dict(self.options))
+        elif not _exists(df.sparkSession, f"{self.path}/{part}/_SUCCESS"):
+            write_batch(df, self.fmt, f"{self.path}/{part}", "overwrite", dict(self.options))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def _part(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """Sub-folder of a micro-batch; the query's id, kept in its checkpoint, tells it from those of an earlier query."""
+    query = spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+    return f"query={query}/batch={batch_id}"
 
 
 def stamped_records(raw: DataFrame) -> DataFrame:
@@ -60,69 +76,70 @@ def stamped_records(raw: DataFrame) -> DataFrame:
 
 
 def start_ingest(
-    spark: SparkSession, raw: End, ticks: End, rejected: End, checkpoint: str, available_now: bool = False,
+    spark: SparkSession, raw: End, ticks: End, rejected: End, checkpoint: str, available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
     """Validate raw price records, stamp and publish the good ones, keep the rejected ones."""
     judged = validate_ticks(raw.stream(spark)).withColumn(
         "verdict", F.when(F.col("reject_reason").isNull(), "good").otherwise("rejected"))
 
     def write_route(rows: DataFrame, route: str, batch_id: int) -> None:
+        part = _part(spark, checkpoint, batch_id)
         if route == "good":
-            ticks.write(stamped_records(rows), batch_id)
+            ticks.write(stamped_records(rows), part)
         else:
-            rejected.write(to_wire(quarantine(rows).select("reject_reason", "value")), batch_id)
+            rejected.write(to_wire(quarantine(rows).select("reject_reason", "value")), part)
 
-    return route_stream_each(judged, "verdict", ["good", "rejected"], write_route, checkpoint, available_now)
+    return route_stream_each(judged, "verdict", ["good", "rejected"], write_route, checkpoint, available_now, interval)
 
 
 def start_window_stats(
     spark: SparkSession, ticks: End, stats: End, checkpoint: str, ladder: Ladder = LADDER,
-    lateness: int = LATENESS, available_now: bool = False,
+    lateness: int = LATENESS, available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
     """Ticks to nested window statistics."""
     per_window = streaming_window_stats(parse_ticks(ticks.stream(spark)), ladder, lateness)
-    return stats.start(to_wire(streaming_nested_stats(per_window, ladder)), checkpoint, available_now)
+    return stats.start(to_wire(streaming_nested_stats(per_window, ladder)), checkpoint, available_now, interval)
 
 
 def start_slot_moments(
     spark: SparkSession, ticks: End, slots_path: str, checkpoint: str, ladder: Ladder = LADDER,
-    lateness: int = LATENESS, available_now: bool = False,
+    lateness: int = LATENESS, available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
     """First half of the window statistics in two jobs, which reads the ticks once."""
     moments = slot_moments_stream(parse_ticks(ticks.stream(spark)), ladder, lateness)
-    return write_stream(moments, checkpoint, "parquet", slots_path, available_now=available_now)
+    return write_stream(moments, checkpoint, "parquet", slots_path, available_now=available_now, interval=interval)
 
 
 def start_window_stats_from_slots(
     spark: SparkSession, slots_path: str, stats: End, checkpoint: str, ladder: Ladder = LADDER,
-    available_now: bool = False,
+    available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
     """Second half: slots to nested window statistics."""
     slots = spark.readStream.schema(SLOTS_SCHEMA).parquet(slots_path)
     nested = streaming_nested_stats(window_stats_from_slots(slots, ladder), ladder)
-    return stats.start(to_wire(nested), checkpoint, available_now)
+    return stats.start(to_wire(nested), checkpoint, available_now, interval)
 
 
 def start_zscores(
     spark: SparkSession, ticks: End, stats: End, scores: End, checkpoint: str, ladder: Ladder = LADDER,
-    grain: int = PRICE_GRAIN, lateness: int = LATENESS, available_now: bool = False,
+    grain: int = PRICE_GRAIN, lateness: int = LATENESS, available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
     """Ticks and window statistics to nested z-scores."""
     per_window = unnest_stats(from_wire(stats.stream(spark), WINDOW_STATS_WIRE))
     nested = streaming_nested_scores(parse_ticks(ticks.stream(spark)), per_window, ladder, grain, lateness)
-    return scores.start(to_wire(nested), checkpoint, available_now)
+    return scores.start(to_wire(nested), checkpoint, available_now, interval)
 
 
 def start_load(
-    spark: SparkSession, scores: End, path: str, checkpoint: str, fmt: str = "parquet", available_now: bool = False,
+    spark: SparkSession, scores: End, path: str, checkpoint: str, fmt: str = "parquet", available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
     """Z-scores to one folder per window."""
     documents = unnest_scores(from_wire(scores.stream(spark), ZSCORES_WIRE))
-    return route_stream(documents, "window", path, checkpoint, fmt, available_now)
+    return route_stream(documents, "window", path, checkpoint, fmt, available_now, interval)
 
 
 def start_load_each(
-    spark: SparkSession, scores: End, destinations: Mapping[str, End], checkpoint: str, available_now: bool = False,
+    spark: SparkSession, scores: End, destinations: Mapping[str, End], checkpoint: str, available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
     """Z-scores to one destination per window, such as a collection each.
 
@@ -133,19 +150,19 @@ def start_load_each(
         "_id", F.concat_ws("@", "symbol", F.unix_micros("timestamp").cast("string")))
 
     def write_route(rows: DataFrame, window: str, batch_id: int) -> None:
-        destinations[window].write(rows, batch_id)
+        destinations[window].write(rows, _part(spark, checkpoint, batch_id))
 
-    return route_stream_each(documents, "window", list(destinations), write_route, checkpoint, available_now)
+    return route_stream_each(documents, "window", list(destinations), write_route, checkpoint, available_now, interval)
 
 
 def start_price_shifts(
     spark: SparkSession, ticks: End, higher: End, lower: End, checkpoint: str, horizon: int = SHIFT_HORIZON,
-    lateness: int = LATENESS, emit: str = "final", available_now: bool = False,
+    lateness: int = LATENESS, emit: str = "final", available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
     """Ticks to the first higher and the first lower price, one query for both outputs."""
     events = streaming_price_shifts(parse_ticks(ticks.stream(spark)), horizon, lateness, emit=emit)
 
     def write_route(rows: DataFrame, kind: str, batch_id: int) -> None:
-        {HIGHER: higher, LOWER: lower}[kind].write(rows.select("value"), batch_id)
+        {HIGHER: higher, LOWER: lower}[kind].write(rows.select("value"), _part(spark, checkpoint, batch_id))
 
-    return route_stream_each(shift_messages(events), "kind", [HIGHER, LOWER], write_route, checkpoint, available_now)
+    return route_stream_each(shift_messages(events), "kind", [HIGHER, LOWER], write_route, checkpoint, available_now, interval)

@@ -116,6 +116,8 @@ union all
 _VALIDATE = r"""with texts as (
   select to_json({'symbol': event_type, 'price': (value + 0.0)::varchar, 'timestamp': ts})::varchar as t, 'ticks' as origin
   from events
+  union all select to_json({'symbol': event_type, 'price': (value + 0.0)::varchar, 'timestamp': ts})::varchar || tail, 'ticks' || tail
+  from events, (values (']x'), (',0]'), ('],[0')) tails(tail)
   union all select props, 'events' from events
   union all select text, 'documents' from documents
   union all select text, 'conversations' from conversations

@@ -19,7 +19,7 @@ from tickflow.operators.zscore import nested_zscores, score, unnest_scores, zsco
 from tickflow.plans.jobs import End, start_ingest
 from tickflow.schemas import LADDER, LADDER_SCALED, WINDOW_STATS_WIRE, ZSCORES_WIRE, Ladder
 from tickflow.session import scratch_dir, stream_settings, tune
-from tickflow.sinks.write import route_by, route_stream, run_to_end, to_wire, write_batch, write_stream
+from tickflow.sinks.write import read_routes, route_by, route_stream, run_to_end, to_wire, write_batch, write_stream
 from tickflow.sources.ticks import events_as_ticks, read_records, ticks_as_records
 from tickflow.streaming.ladder import (
     SLOTS_SCHEMA, slot_moments_stream, streaming_nested_stats, streaming_window_stats, window_stats_from_slots,
@@ -30,6 +30,7 @@ from tickflow.streaming.zscore import streaming_nested_scores
 
 HOUR = 3600
 LONG_HORIZON = 7200
+_STATE = 2  # state partitions of the replayed streams, which are small
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,7 +70,7 @@ def tick_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tick_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts of eight tables taken for tick records; records per verdict."""
+    """Texts of eight tables, and ticks with text behind them, taken for tick records; records per verdict."""
     def symbol_and_price(symbol: str, price: str) -> Column:
         return F.to_json(F.struct(F.col(symbol).alias("symbol"), F.col(price).alias("price")))
 
@@ -79,7 +80,10 @@ def tick_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "orders": symbol_and_price("o_orderstatus", "o_orderpriority"),
         "lineitem": symbol_and_price("l_partkey", "l_extendedprice"),
     }
-    inputs = [ticks_as_records(_ticks(spark, sf_dir)).withColumn("origin", F.lit("ticks"))]
+    ticks = ticks_as_records(_ticks(spark, sf_dir))
+    # Good records that close an array they are put in, and go on behind it.
+    closing = [ticks.select(F.concat("value", F.lit(end)).alias("value"), F.lit(f"ticks{end}").alias("origin")) for end in ("]x", ",0]", "],[0")]
+    inputs = [ticks.withColumn("origin", F.lit("ticks")), *closing]
     inputs += [
         spark.read.parquet(f"{sf_dir}/{table}.parquet").select(text.alias("value"), F.lit(table).alias("origin"))
         for table, text in texts.items()
@@ -158,9 +162,9 @@ def zscore_unnested(spark: SparkSession, sf_dir: str) -> DataFrame:
 def route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written to one folder per window, then counted from there."""
     path = scratch_dir(spark, "routes")
-    documents = zscores(_ticks(spark, sf_dir), LADDER_SCALED, HOUR)
-    route_by(documents.select("timestamp", "symbol", "window", "zscore_price"), "window", path)
-    return spark.read.parquet(path).groupBy("window").agg(F.count(F.lit(1)).alias("documents"))
+    documents = zscores(_ticks(spark, sf_dir), LADDER_SCALED, HOUR).select("timestamp", "symbol", "window", "zscore_price")
+    route_by(documents, "window", path)
+    return read_routes(spark, "window", path, documents.schema).groupBy("window").agg(F.count(F.lit(1)).alias("documents"))
 
 
 # --- price shift -------------------------------------------------------------
@@ -215,7 +219,7 @@ def stream_hour_price(spark: SparkSession, sf_dir: str) -> DataFrame:
         prices = ingest.second_price(ingest.parse_ticks(records), HOUR)
         return write_stream(prices, checkpoint, "parquet", out, available_now=True)
 
-    replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2)
+    replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2, partitions=_STATE)
     return _tidy(_no_flush(spark.read.parquet(out)), "price")
 
 
@@ -228,7 +232,7 @@ def stream_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         wire = to_wire(streaming_nested_stats(stats, LADDER_SCALED))
         return write_stream(wire, checkpoint, "text", out, available_now=True)
 
-    replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2, operators=len(LADDER_SCALED.rungs))
+    replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2, partitions=_STATE)
     nested = ingest.from_wire(read_records(spark, "text", out), WINDOW_STATS_WIRE)
     return _tidy(_no_flush(unnest_stats(nested)), "avg_price", "std_price")
 
@@ -241,8 +245,8 @@ def stream_window_stats_from_slots(spark: SparkSession, sf_dir: str) -> DataFram
         slots = slot_moments_stream(ingest.parse_ticks(records), LADDER_SCALED)
         return write_stream(slots, slots_checkpoint, "parquet", landed, available_now=True)
 
-    replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2, flush_twice=True)
-    with stream_settings(spark, operators=len(LADDER_SCALED.rungs)):
+    replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2, flush_twice=True, partitions=_STATE)
+    with stream_settings(spark, partitions=_STATE):
         slots = spark.readStream.schema(SLOTS_SCHEMA).parquet(landed)
         stats = window_stats_from_slots(slots, LADDER_SCALED).drop("span")
         run_to_end(write_stream(stats, checkpoint, "parquet", out, available_now=True))
@@ -263,7 +267,7 @@ def stream_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
         nested = streaming_nested_scores(ingest.parse_ticks(records), stats, LADDER_SCALED, HOUR)
         return write_stream(to_wire(nested), checkpoint, "text", out, available_now=True)
 
-    replay_ticks(spark, ticks, start, steps=1, operators=2)
+    replay_ticks(spark, ticks, start, steps=1, partitions=_STATE)
     nested = ingest.from_wire(read_records(spark, "text", out), ZSCORES_WIRE)
     return _tidy(_no_flush(unnest_scores(nested)), "zscore_price")
 
@@ -276,7 +280,7 @@ def _stream_price_shift(emit: str) -> Query:
             shifts = streaming_price_shifts(ingest.parse_ticks(records), LONG_HORIZON, emit=emit)
             return write_stream(shifts, checkpoint, "parquet", out, available_now=True)
 
-        replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2)
+        replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2, partitions=_STATE)
         return _tidy(_no_flush(spark.read.parquet(out)).drop("price"))
     return query
 
@@ -287,9 +291,9 @@ def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores_in, out = scratch_dir(spark, "scores"), scratch_dir(spark, "routes")
     write_batch(to_wire(nested_zscores(ticks, LADDER_SCALED, HOUR)), "text", scores_in)
     nested = ingest.from_wire(read_records(spark, "text", scores_in, stream=True), ZSCORES_WIRE)
-    run_to_end(route_stream(
-        unnest_scores(nested), "window", out, scratch_dir(spark, "checkpoint"), available_now=True))
-    return _tidy(spark.read.parquet(out).drop("batch"), "zscore_price").select(
+    documents = unnest_scores(nested)
+    run_to_end(route_stream(documents, "window", out, scratch_dir(spark, "checkpoint"), available_now=True))
+    return _tidy(read_routes(spark, "window", out, documents.schema), "zscore_price").select(
         "timestamp", "symbol", "window", "zscore_price")
 
 

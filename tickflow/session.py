@@ -43,16 +43,16 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 @contextmanager
-def stream_settings(spark: SparkSession, operators: int = 1) -> Iterator[None]:
+def stream_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Settings to start a stateful query with; the session has its own back afterwards.
 
     Every stateful operator commits a store per partition and micro-batch, and
-    the number of partitions is fixed for good by the first checkpoint. So the
-    cores are shared out among the operators that work side by side.
+    the number of partitions is fixed for good by the first checkpoint: give the
+    number for the life of the query, or the session's is taken.
     """
-    partitions = "spark.sql.shuffle.partitions"
-    share = max(2, spark.sparkContext.defaultParallelism // operators)
-    wanted = {**STREAM_SETTINGS, partitions: str(min(int(spark.conf.get(partitions)), share))}
+    wanted = dict(STREAM_SETTINGS)
+    if partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -69,9 +69,12 @@ def stream_settings(spark: SparkSession, operators: int = 1) -> Iterator[None]:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one the cluster names in spark.checkpoint.dir.
 
-    Only where none is named (tests on one machine) a local temporary folder.
+    Where none is named, a local temporary folder on one machine (tests), and
+    an error on a cluster, whose machines would not see each other's files.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("name a folder that all machines share in spark.checkpoint.dir")
     return tempfile.mkdtemp(prefix=f"{name}-")

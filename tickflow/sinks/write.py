@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.sources.ticks import WIRE_MICROS
@@ -34,24 +35,27 @@ def write_batch(
 def write_stream(
     df: DataFrame, checkpoint: str, fmt: str = "parquet", path: str | None = None,
     options: dict[str, str] | None = None, available_now: bool = False, name: str | None = None,
-    partition_by: list[str] | None = None,
+    partition_by: list[str] | None = None, interval: str | None = None,
 ) -> StreamingQuery:
     """Start an append-mode query. Every sink needs a checkpoint of its own.
 
-    `available_now` works through what is there, in micro-batches, and ends.
+    `available_now` works through what is there, in micro-batches, and ends;
+    `interval` ("1 minute") starts a micro-batch that often, else one follows the other.
     """
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.options(**(options or {}))
-    return _start(writer, path, available_now, name, partition_by)
+    return _start(writer, path, available_now, name, partition_by, interval)
 
 
-def _start(writer, path=None, available_now=False, name=None, partition_by=None) -> StreamingQuery:
+def _start(writer, path=None, available_now=False, name=None, partition_by=None, interval=None) -> StreamingQuery:
     if name:
         writer = writer.queryName(name)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if available_now:
         writer = writer.trigger(availableNow=True)
+    elif interval:
+        writer = writer.trigger(processingTime=interval)
     return writer.start(path) if path is not None else writer.start()
 
 
@@ -65,40 +69,47 @@ def route_by(df: DataFrame, column: str, path: str, fmt: str = "parquet", mode:
     balanced(df, column).write.format(fmt).mode(mode).partitionBy(column).save(path)
 
 
+def read_routes(spark: SparkSession, column: str, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """What `route_by` or `route_stream` wrote. Routes keep the type they were written with: `1d` stays a label."""
+    return spark.read.format(fmt).schema(schema).load(path).select(*schema.names)
+
+
 def route_stream(
     df: DataFrame, column: str, path: str, checkpoint: str, fmt: str = "parquet", available_now: bool = False,
+    interval: str | None = None,
 ) -> StreamingQuery:
-    """One query for all routes, instead of one query and one read of the source each.
+    """One query for all routes, instead of one query and one read of the source each: one sub-folder per value.
 
-    A micro-batch overwrites its own `batch=<id>` folder, so a replay after a
-    failure leaves nothing twice.
+    The file sink's log says which files belong to a finished micro-batch, so a
+    replay after a failure adds nothing for readers, batch or stream.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        route_by(batch, column, f"{path}/batch={batch_id}", fmt)
-
-    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _start(writer, available_now=available_now)
+    return write_stream(df, checkpoint, fmt, path, available_now=available_now, partition_by=[column], interval=interval)
 
 
 def route_stream_each(
     df: DataFrame, column: str, routes: list[str], write_route: Callable[[DataFrame, str, int], None],
-    checkpoint: str, available_now: bool = False,
+    checkpoint: str, available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
     """For sinks with one destination per value (a collection, a topic, a table).
 
+    A row whose value is none of `routes` makes the query fail, before anything is written.
+
     The micro-batch is computed once, kept, and handed to `write_route(rows,
     route, batch_id)` per route; the batch id lets the writer recognise a replay.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            lost = batch.filter(~F.coalesce(F.col(column).isin(routes), F.lit(False))).select(column).first()
+            if lost:
+                raise ValueError(f"no destination for {column} = {lost[0]!r}")
             for route in routes:
                 write_route(batch.filter(F.col(column) == route), route, batch_id)
         finally:
             batch.unpersist()
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _start(writer, available_now=available_now)
+    return _start(writer, available_now=available_now, interval=interval)
 
 
 def run_to_end(query: StreamingQuery) -> None:

@@ -25,11 +25,11 @@ _FLUSH_AFTER_DAYS = 3650
 
 def replay_ticks(
     spark: SparkSession, ticks: DataFrame, start: Callable[[DataFrame, str], StreamingQuery],
-    steps: int = 2, flush_twice: bool = False, operators: int = 1,
+    steps: int = 2, flush_twice: bool = False, partitions: int | None = None,
 ) -> None:
     """`start(records, checkpoint)` gets a stream of wire records and starts the query.
 
-    `operators` is the number of stateful operators that run side by side.
+    `partitions` is the number of state partitions, the session's if not given.
     `flush_twice` adds a second, later flush tick, for queries whose output
     feeds another one that has to be flushed as well.
     """
@@ -49,14 +49,14 @@ def replay_ticks(
             part = part.filter(F.col("timestamp") < cuts[step + 1])
         else:
             part = part.unionByName(flush_tick(ticks))
-        _run_on(spark, part, landing, checkpoint, start, operators)
+        _run_on(spark, part, landing, checkpoint, start, partitions)
     if flush_twice:
-        _run_on(spark, flush_tick(ticks, times=2), landing, checkpoint, start, operators)
+        _run_on(spark, flush_tick(ticks, times=2), landing, checkpoint, start, partitions)
 
 
-def _run_on(spark, part: DataFrame, landing: str, checkpoint: str, start, operators: int) -> None:
+def _run_on(spark, part: DataFrame, landing: str, checkpoint: str, start, partitions: int | None) -> None:
     ticks_as_records(part).write.mode("append").text(landing)
-    with stream_settings(spark, operators):
+    with stream_settings(spark, partitions):
         run_to_end(start(read_records(spark, "text", landing, stream=True), checkpoint))
 
 
