@@ -103,8 +103,9 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256; of equal texts the largest doc_id stays."""
     named = saved(name_documents(docs.select(doc_id, text), text, block_bytes, hasher).select(
         "id", F.col(f"row.{doc_id}").alias("doc_id"), "sha256", "levels", "name"))
-    groups = named.groupBy("levels", "name").agg(
-        F.count("*").alias("group_size"), F.max(F.struct("doc_id", "id")).alias("best"))
+    # Kept, so that the join deals both sides out anew and can split the rows of a large group.
+    groups = saved(named.groupBy("levels", "name").agg(
+        F.count("*").alias("group_size"), F.max(F.struct("doc_id", "id")).alias("best")))
     return named.join(groups, ["levels", "name"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("id") == F.col("best.id")).alias("kept"),
         F.col("sha256").alias("text_sha256"))
