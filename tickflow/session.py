@@ -20,11 +20,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Slots multiply after the shuffle, so small shuffles still go to all cores.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
-    # The byte limit is measured again after every row, which costs several
-    # times the transfer. Batches stay bounded by their row count, and the
-    # columns sent to Python are narrow.
-    "spark.sql.execution.arrow.maxBytesPerBatch": "2147483647",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
 }
 
 # State off the heap, with checkpoints of what changed.
