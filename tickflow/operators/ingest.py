@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,44 +55,52 @@ def validate_ticks(records: DataFrame, value: str = "value") -> DataFrame:
     that reads as a number. NaN and infinity pass, marked by `non_finite`.
     """
     require_duplicate_keys(records.sparkSession)
+    verdict = _once(F.col(value).cast("string"), _verdict)
+    judged = records.withColumn("_verdict", verdict)
+    return judged.withColumns({
+        "reject_reason": F.col("_verdict.reason"), "non_finite": F.col("_verdict.non_finite")}).drop("_verdict")
+
+
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, also where a filter on the result moves below other steps."""
+    return F.transform(F.array(value), lambda v: body(v))[0]
+
 
+def _verdict(text: Column) -> Column:
     def in_array(end: str) -> Column:
-        return F.try_parse_json(F.concat(F.lit("["), F.col("_text"), F.lit(end)))
+        return F.try_parse_json(F.concat(F.lit("["), text, F.lit(end)))
 
-    def element(array: str, i: int) -> Column:
+    def element(array: Column, i: int) -> Column:
         return F.try_variant_get(array, f"$[{i}]", "variant")
 
+    hollow = text.isNull() | text.rlike(_HOLLOW)
+
+    def judge(json: Column) -> Column:
+        def has(field: str) -> Column:
+            # A field that holds JSON null is there.
+            return F.try_variant_get(json, f"$.{field}", "variant").isNotNull()
+
+        def by_price(price: Column) -> Column:
+            is_object = text.rlike(r"^\s*\{")
+            reason = (
+                F.when(hollow, EMPTY)
+                .when(json.isNull(), NOT_JSON)
+                .when(~(has("symbol") & has("price")), F.when(is_object, MISSING_FIELD).otherwise(NOT_OBJECT))
+                .when(price.isNull(), BAD_PRICE)
+            )
+            odd = F.isnan(price) | (F.abs(price) == F.lit(float("inf")))
+            return _once(reason, lambda r: F.struct(
+                r.alias("reason"), F.coalesce(r.isNull() & odd, F.lit(False)).alias("non_finite")))
+        return _once(F.try_variant_get(json, "$.price", "string"), lambda shown: _once(price_of(shown), by_price))
+
     # The parser stops after the first value of a text. A text that closes the
     # array it is put in, to go on behind it, shows the same elements whether
     # another one follows or not; one whole value shows one, then two.
-    alone = element("_array", 0).isNotNull() & element("_array", 1).isNull()
-    # One projection per step, so that every text is parsed once each way.
-    read = (
-        records.withColumn("_text", F.col(value).cast("string"))
-        .withColumn("_hollow", F.col("_text").isNull() | F.col("_text").rlike(_HOLLOW))
-        .withColumn("_array", F.when(~F.col("_hollow"), in_array("]")))
-        .withColumn("_longer", F.when(alone, in_array(",0]")))
-        .withColumn("_json", F.when(element("_longer", 1).isNotNull(), element("_array", 0)))
-        .withColumn("_price_text", F.try_variant_get("_json", "$.price", "string"))
-        .withColumn("_price", price_of(F.col("_price_text")))
-    )
-    price = F.col("_price")
-
-    def has(field: str) -> Column:
-        # A field that holds JSON null is there.
-        return F.try_variant_get("_json", f"$.{field}", "variant").isNotNull()
-
-    is_object = F.col("_text").rlike(r"^\s*\{")
-    reason = (
-        F.when(F.col("_hollow"), EMPTY)
-        .when(F.col("_json").isNull(), NOT_JSON)
-        .when(~(has("symbol") & has("price")), F.when(is_object, MISSING_FIELD).otherwise(NOT_OBJECT))
-        .when(price.isNull(), BAD_PRICE)
-    )
-    odd = F.isnan(price) | (F.abs(price) == F.lit(float("inf")))
-    judged = read.withColumn("reject_reason", reason).withColumn(
-        "non_finite", F.coalesce(F.col("reject_reason").isNull() & odd, F.lit(False)))
-    return judged.drop("_text", "_hollow", "_array", "_longer", "_json", "_price_text", "_price")
+    def whole(array: Column) -> Column:
+        alone = element(array, 0).isNotNull() & element(array, 1).isNull()
+        return _once(F.when(alone, in_array(",0]")), lambda longer: _once(
+            F.when(element(longer, 1).isNotNull(), element(array, 0)), judge))
+    return _once(F.when(~hollow, in_array("]")), whole)
 
 
 def good(validated: DataFrame) -> DataFrame:

@@ -280,7 +280,7 @@ def _stream_price_shift(emit: str) -> Query:
             shifts = streaming_price_shifts(ingest.parse_ticks(records), LONG_HORIZON, emit=emit)
             return write_stream(shifts, checkpoint, "parquet", out, available_now=True)
 
-        replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2, partitions=_STATE)
+        replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2, partitions=4 * _STATE)
         return _tidy(_no_flush(spark.read.parquet(out)).drop("price"))
     return query
 
