@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tickflow.functions.beyond import Scan
-from tickflow.operators.shifts import price_shifts, shift_events, shift_messages
+from tickflow.operators.shifts import _ranged, placement, price_shifts, shift_events, shift_messages
 
 S = 1_000_000
 
@@ -35,42 +35,36 @@ def random_rows(seed, n, span, levels):
     return [(str(s), float(p), int(u)) for s, p, u in zip(rng.choice(list("AAAB"), n), price, rng.integers(0, span, n))]
 
 
-@pytest.mark.parametrize("hot_slot", [5_000_000, 25, 2])
+@pytest.mark.parametrize("pieces", [1, 12])
 @pytest.mark.parametrize("span, levels", [(300, 5), (8 * S, 4), (8 * S, 0), (90 * S, 0), (90 * S, 3)])
-def test_equal_brute_force(ticks_of, span, levels, hot_slot):
+def test_equal_brute_force(ticks_of, span, levels, pieces):
     rows = random_rows(1, 250, span, levels)
-    assert got_shifts(price_shifts(ticks_of(rows, 3), 2, hot_slot)) == expected_shifts(rows, 2)
+    assert got_shifts(price_shifts(ticks_of(rows, 3), 2, pieces)) == expected_shifts(rows, 2)
 
 
-@pytest.mark.parametrize("hot_slot", [5_000_000, 20])
-def test_one_moment_holds_most_ticks(ticks_of, hot_slot):
+@pytest.mark.parametrize("pieces", [1, 12])
+def test_one_moment_holds_most_ticks(ticks_of, pieces):
     rows = random_rows(2, 60, 20 * S, 4) + [("A", float(i % 3), 5 * S) for i in range(150)]
-    assert got_shifts(price_shifts(ticks_of(rows, 3), 2, hot_slot)) == expected_shifts(rows, 2)
+    assert got_shifts(price_shifts(ticks_of(rows, 3), 2, pieces)) == expected_shifts(rows, 2)
 
 
-@pytest.mark.parametrize("hot_slot", [5_000_000, 20])
+@pytest.mark.parametrize("pieces", [1, 12])
 @pytest.mark.parametrize("sign", [1, -1])
-def test_rising_and_falling(ticks_of, hot_slot, sign):
+def test_rising_and_falling(ticks_of, pieces, sign):
     rows = [("A", float(sign * i), i * 10_000) for i in range(300)]
-    assert got_shifts(price_shifts(ticks_of(rows), 2, hot_slot)) == expected_shifts(rows, 2)
+    assert got_shifts(price_shifts(ticks_of(rows), 2, pieces)) == expected_shifts(rows, 2)
 
 
 def test_copies_keep_their_number(ticks_of):
-    from tickflow.operators import hot_slots
     rows = [("A", 1.0, 0)] * 40 + [("A", 2.0, S)] * 30
-    before = hot_slots._COPIES_PER_ROW
-    hot_slots._COPIES_PER_ROW = 7
-    try:
-        assert got_shifts(price_shifts(ticks_of(rows), 2, 10)) == expected_shifts(rows, 2)
-    finally:
-        hot_slots._COPIES_PER_ROW = before
+    assert got_shifts(price_shifts(ticks_of(rows, 6), 2, 10)) == expected_shifts(rows, 2)
 
 
 def test_all_columns_stay(spark, ticks_of):
     ticks = ticks_of(random_rows(3, 100, 20 * S, 0)).withColumn("id", F.monotonically_increasing_id()).withColumn(
         "tag", F.array(F.col("symbol")))
-    for hot_slot in (5_000_000, 5):
-        out = price_shifts(ticks, 2, hot_slot)
+    for pieces in (1, 20):
+        out = price_shifts(ticks, 2, pieces)
         assert out.columns[:5] == ["symbol", "price", "timestamp", "id", "tag"]
         assert out.filter(F.col("tag").isNull()).count() == 0
         assert out.select("id").distinct().count() == 100
@@ -94,16 +88,16 @@ def test_same_time_is_no_shift_and_bad_ticks_go(ticks_of):
 
 def test_nan_neither_asks_nor_answers(ticks_of):
     rows = [("A", 1.0, 0), ("A", float("nan"), S), ("A", 3.0, 2 * S)]
-    for hot_slot in (5_000_000, 1):
-        out = {r.price if r.price == r.price else "nan": r for r in price_shifts(ticks_of(rows), 20, hot_slot).collect()}
+    for pieces in (1, 9):
+        out = {r.price if r.price == r.price else "nan": r for r in price_shifts(ticks_of(rows), 20, pieces).collect()}
         assert (out[1.0].higher_window, out[1.0].lower_found) == (2.0, False)
         assert not out["nan"].higher_found and not out["nan"].lower_found
 
 
 def test_null_symbol_is_its_own_group(ticks_of):
     rows = [(None, 1.0, 0), (None, 2.0, S), ("A", 0.0, S)]
-    for hot_slot in (5_000_000, 1):
-        out = price_shifts(ticks_of(rows), 20, hot_slot).filter("symbol is null").orderBy("timestamp").first()
+    for pieces in (1, 9):
+        out = price_shifts(ticks_of(rows), 20, pieces).filter("symbol is null").orderBy("timestamp").first()
         assert (out.higher_window, out.lower_found) == (1.0, False)
 
 
@@ -123,38 +117,56 @@ def test_messages(ticks_of):
     assert all(json.loads(v) for _, v in got)
 
 
-def test_no_pairs_and_one_shuffle(ticks_of):
-    plan = price_shifts(ticks_of(random_rows(4, 50, S, 0)))._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and "Cartesian" not in plan
-    assert plan.count("Exchange hashpartitioning") == 1
+COURSES = {
+    "rising": lambda i: i, "falling": lambda i: -i, "flat": lambda i: 7, "random": lambda i: (i * 7919) % 1009,
+    "valley": lambda i: abs(i - 1000), "hill": lambda i: -abs(i - 1000), "widening": lambda i: i * (-1) ** i,
+}
 
 
-def test_hot_symbol_is_spread_over_tasks(spark, ticks_of):
-    from tickflow.functions.timeline import floor_to, micros
-    from tickflow.operators.shifts import place
-    rows = [("hot", float(i % 5), i * S) for i in range(2000)]
-    timed = ticks_of(rows).withColumn("_us", micros(F.col("timestamp"))).withColumn("_slot", floor_to(F.col("_us"), 24))
-    placed = place(timed, ["symbol", "price", "timestamp"], 3 * S, 24).repartition(4, "symbol", "_slot", "_piece")
-    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
-    assert len(sizes) == 4 and max(sizes) < 2000 * 0.5
-    assert placed.filter("not _own").count() < 2000 * 0.15
+@pytest.mark.parametrize("course", COURSES)
+@pytest.mark.parametrize("pieces", [3, 20])
+def test_few_copies_whatever_the_prices(ticks_of, course, pieces):
+    rows = [("A", float(COURSES[course](i)), i * 10_000) for i in range(2000)]  # 20 s, all within one horizon
+    settled, placed = placement(ticks_of(rows), 21 * S, pieces)
+    most = 2.2 if course in ("rising", "falling", "flat", "random") else 3.2
+    assert settled.count() + placed.count() <= most * len(rows)
+    assert got_shifts(price_shifts(ticks_of(rows), 20, pieces)) == expected_shifts(rows, 20)
 
 
-def test_split_pieces_are_of_bounded_size(spark, ticks_of):
-    from tickflow.functions.timeline import floor_to, micros
-    from tickflow.operators.hot_slots import split_placement
+def test_pieces_are_of_bounded_size(ticks_of):
     rows = [("hot", float((i * 7919) % 1000), i) for i in range(2000)] + [("hot", float(i), 5000) for i in range(2000)]
-    timed = ticks_of(rows).withColumn("_us", micros(F.col("timestamp"))).withColumn("_slot", floor_to(F.col("_us"), 24))
-    counts = timed.groupBy("symbol", "_slot").agg(F.count(F.lit(1)).alias("_ticks"))
-    placed = split_placement(timed, counts, ["symbol", "price", "timestamp"], 3 * S, 24, 250, len(rows))
-    own = placed.filter("_own").groupBy("_slot", "_piece").count().collect()
-    assert sum(r["count"] for r in own) == len(rows) and len(own) >= 14
-    assert max(r["count"] for r in own) < 600
+    sizes = [r["count"] for r in _ranged(ticks_of(rows, 4), 16).groupBy("_piece").count().collect()]
+    assert sum(sizes) == len(rows) and len(sizes) >= 14 and max(sizes) < 600
+
+
+def test_copies_of_one_tick_are_spread(ticks_of):
+    sizes = [r["count"] for r in _ranged(ticks_of([("A", 1.0, 0)] * 4000, 16), 8).groupBy("_piece").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 1200
 
 
-def test_no_count_without_a_limit(ticks_of):
-    rows = random_rows(5, 80, 20 * S, 0)
-    assert got_shifts(price_shifts(ticks_of(rows), 2, None)) == expected_shifts(rows, 2)
+def test_planning_starts_no_job_and_ticks_are_shuffled_once(spark, tmp_path, ticks_of):
+    ticks_of(random_rows(4, 50, S, 0)).write.parquet(str(tmp_path / "ticks"))
+    ticks = spark.read.parquet(str(tmp_path / "ticks"))
+    spark.sparkContext.setJobGroup("planning", "")
+    out = price_shifts(ticks, 20)
+    jobs = list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+    assert plan.count("FileScan") == 1
+    assert plan.count("ReusedExchange") == 2
+    assert "SortMergeJoin" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_reuse_of_the_shuffle_is_required(spark, ticks_of):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        with pytest.raises(ValueError, match="reuse"):
+            price_shifts(ticks_of([]))
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
 
 
 @settings(max_examples=300, deadline=None)

@@ -1,139 +1,84 @@
 """How long after each tick its symbol first traded higher, and first lower.
 
 A later tick counts if it is strictly later and at most `horizon` whole seconds
-elapsed, so up to `horizon` + 0.999999 s. Time is cut into slots several
-horizons wide; ticks are grouped by (symbol, slot), and those near the start of
-a slot are also shown to the slot before, where they can be an answer but ask
-nothing. One shuffle then has everything in place, and each task walks its
-sorted rows once (`functions.beyond`): no pairs are formed, no group is held in
-memory, and a hot symbol spreads over its slots. A slot that is hot itself is
-split further (`operators.hot_slots`).
+elapsed, so up to `horizon` + 0.999999 s.
+
+Ticks are sorted by ranges of (symbol, time) into pieces of about equal size,
+whatever the symbols and instants they are crowded into. Each task walks its
+piece once, from the latest tick to the earliest (`functions.beyond`), and
+answers nearly all. What is left open at the end of a piece goes to exactly one
+later piece: the first whose highest (or lowest) price beats it, which
+`operators.edges` finds in a table of a row per piece. No pairs are formed, no
+symbol is held together, and ticks are copied at the edges of pieces only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickflow.functions.beyond import Scan
-from tickflow.functions.timeline import floor_to, iso_instant, micros, require_utc, time_type
+from tickflow.functions.timeline import iso_instant, micros, require_utc, time_type
+from tickflow.operators import edges
 from tickflow.schemas import MICROS, SHIFT_HORIZON
 
-# Slot width in horizons: a tick is copied with probability 1 / this.
-_SLOT_HORIZONS = 8
-# Above this many ticks in one slot of one symbol, well under a minute of one
-# task's work, the slot is split.
-_HOT_SLOT = 20_000_000
-
 HIGHER = "higher"
 LOWER = "lower"
 
 
-def price_shifts(ticks: DataFrame, horizon: int = SHIFT_HORIZON, hot_slot: int | None = _HOT_SLOT) -> DataFrame:
+def price_shifts(ticks: DataFrame, horizon: int = SHIFT_HORIZON, pieces: int | None = None) -> DataFrame:
     """All columns of `ticks` plus `higher_window, higher_found, lower_window, lower_found`.
 
     A window is in seconds, cut to whole milliseconds, and `horizon` where
     nothing was found. Ticks without price or time are dropped; every other
     tick gives one row, copies included.
 
-    Runs one small job first: the largest number of ticks in a slot decides
-    whether slots have to be split. `hot_slot=None` leaves that out, for data
-    whose ticks are known to be spread over time.
+    `pieces` is the number of ranges, the session's shuffle partitions if not
+    given. It changes how the work is cut, never the result.
     """
     if ticks.isStreaming:
         raise ValueError("on a stream use tickflow.streaming.shifts.streaming_price_shifts")
     limit = (horizon + 1) * MICROS
-    width = _SLOT_HORIZONS * (horizon + 1)
-    time_type(ticks, "timestamp")
-    timed = (
-        ticks.filter(F.col("price").isNotNull() & F.col("timestamp").isNotNull())
-        .withColumn("_us", micros(F.col("timestamp")))
-        .withColumn("_slot", floor_to(F.col("_us"), width))
-    )
-    counts = timed.groupBy("symbol", "_slot").agg(F.count(F.lit(1)).alias("_ticks"))
-    busiest = 0 if hot_slot is None else counts.agg(F.max("_ticks")).first()[0] or 0
-    split = hot_slot is not None and busiest > hot_slot
-    if split:
-        from tickflow.operators.hot_slots import split_placement
-        placed = split_placement(timed, counts, ticks.columns, limit, width, hot_slot, busiest)
-    else:
-        placed = place(timed, ticks.columns, limit, width)
-    found = resolve(placed, ticks.columns, limit)
-    if split:
-        # A row may stand for several exact copies.
-        found = found.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    settled, placed = placement(ticks, limit, pieces)
+    found = settled.unionByName(edges.answered(placed, ticks.columns, limit))
     return found.select(*ticks.columns, *_windows("_higher", HIGHER, horizon), *_windows("_lower", LOWER, horizon))
 
 
-def place(timed: DataFrame, columns: list[str], limit: int, width: int) -> DataFrame:
-    """Each tick in its own slot and, near the slot's start, as a copy in the one before."""
-    home = F.struct(F.col("_slot").alias("slot"), F.lit(True).alias("own"))
-    before = F.struct((F.col("_slot") - F.lit(width * MICROS)).alias("slot"), F.lit(False).alias("own"))
-    reaches_back = F.col("_us") - F.col("_slot") < limit
-    spots = F.when(reaches_back, F.array(home, before)).otherwise(F.array(home))
-    spread = timed.withColumn("_at", F.explode(spots))
-    return spread.select(
-        *payload(columns, F.col("_at.own")),
-        "_us", F.col("_at.slot").alias("_slot"), F.lit(0).alias("_piece"), F.col("_at.own").alias("_own"),
-        F.lit(1).alias("_copies"),
-    )
-
-
-def payload(columns: list[str], own: Column) -> list[Column]:
-    """Copies carry symbol and price only."""
-    return [F.col(c) if c in ("symbol", "price") else F.when(own, F.col(c)).alias(c) for c in columns]
-
-
-def resolve(placed: DataFrame, columns: list[str], limit: int) -> DataFrame:
-    """Distance in microseconds to the first higher and lower tick, or null."""
-    keys = ["symbol", "_slot", "_piece"]
-    in_order = placed.repartition(*keys).sortWithinPartitions(*keys, F.col("_us").desc())
-    out = T.StructType([
-        *[T.StructField(f.name, f.dataType, True) for f in placed.select(*columns).schema],
-        T.StructField("_copies", T.IntegerType()),
-        T.StructField("_higher", T.LongType()),
-        T.StructField("_lower", T.LongType()),
-    ])
-    return in_order.mapInArrow(_walk(limit, [*columns, "_copies"]), out)
-
-
-def _walk(limit: int, kept: list[str]):
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        higher, lower = Scan(limit), Scan(limit)
-        last_key = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            keys = [batch.column(k) for k in ("symbol", "_slot", "_piece")]
-            codes = [_codes(k) for k in keys]
-            changed = np.zeros(batch.num_rows, dtype=bool)
-            for code in codes:
-                changed[1:] |= code[1:] != code[:-1]
-            groups = np.cumsum(changed)
-            continued = last_key == [k[0].as_py() for k in keys]
-            last_key = [k[-1].as_py() for k in keys]
-            times = batch.column("_us").to_numpy()
-            prices = batch.column("price").to_numpy(zero_copy_only=False)
-            answers = [
-                higher.answers(groups, times, prices, continued),
-                lower.answers(groups, times, -prices, continued),
-            ]
-            own = batch.column("_own")
-            arrays = [batch.column(c) for c in kept] + [pa.array(a, mask=a < 0) for a in answers]
-            out = pa.RecordBatch.from_arrays(arrays, names=[*kept, "_higher", "_lower"])
-            yield out.filter(own)
-    return walk
-
-
-def _codes(column: pa.Array) -> np.ndarray:
-    if pa.types.is_integer(column.type):
-        return column.to_numpy(zero_copy_only=False)
-    return column.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+def placement(ticks: DataFrame, limit: int, pieces: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Ticks with both answers, and rows placed for what is left open at the edges of pieces."""
+    ranged = _ranged(ticks, pieces)
+    settled = edges.walked(ranged, ticks.columns, limit, edge=False)
+    routes = edges.routes(edges.ends(ranged), limit)
+    return settled, edges.placed(edges.walked(ranged, ticks.columns, limit, edge=True), ticks.columns, routes)
+
+
+def _ranged(ticks: DataFrame, pieces: int | None) -> DataFrame:
+    """Ticks in pieces by (symbol, time), each piece from its last tick to its first.
+
+    All that follows reads the same pieces, that is, the one shuffle below,
+    which Spark plans once and uses again: nothing may be pruned or pushed
+    between it and the Arrow functions, and nothing is, as these take all
+    columns. Ticks of one instant are told apart by their contents, exact
+    copies by the partition they came from.
+    """
+    spark = ticks.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse") != "true":
+        raise ValueError("price shifts read one shuffle several times: set spark.sql.exchange.reuse to true")
+    time_type(ticks, "timestamp")
+    hashed = [f.name for f in ticks.schema if not _has_no_hash(f.dataType)]
+    timed = ticks.filter(F.col("price").isNotNull() & F.col("timestamp").isNotNull()).withColumns({
+        "_us": micros(F.col("timestamp")), "_tie": F.xxhash64(*hashed, F.spark_partition_id())})
+    count = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return timed.repartitionByRange(count, "symbol", "_us", "_tie").sortWithinPartitions(
+        F.col("symbol").desc_nulls_last(), F.col("_us").desc(), F.col("_tie")).withColumn("_piece", F.spark_partition_id())
+
+
+def _has_no_hash(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_no_hash(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_no_hash(f.dataType) for f in kind)
+    return isinstance(kind, (T.MapType, T.VariantType))
 
 
 def _windows(distance: str, kind: str, horizon: int) -> list[Column]:

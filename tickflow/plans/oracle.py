@@ -64,10 +64,10 @@ _DOCUMENTS = f"""{_scores(LADDER_SCALED, HOUR)}
 select t as "timestamp", symbol, win as "window", {_rounded('z')} as zscore_price from scores"""
 
 
-def _shifts(horizon: int) -> str:
+def _shifts(horizon: int, price: str = "value") -> str:
     def seconds(side: str) -> str:
         return f"coalesce(({side} // 1000) / 1000.0, {horizon}.0)::double"
-    return f"""with ticks as (select event_id, event_type as symbol, value as price, ts, epoch_us(ts) as us from events),
+    return f"""with ticks as (select event_id, event_type as symbol, {price} as price, ts, epoch_us(ts) as us from events),
 gaps as (
   select a.event_id, a.symbol, a.ts,
          min(case when b.price > a.price then b.us - a.us end) as hi,
@@ -82,8 +82,8 @@ shifts as (
   from gaps)"""
 
 
-def _price_shift(horizon: int) -> str:
-    return f"""{_shifts(horizon)}
+def _price_shift(horizon: int, price: str = "value") -> str:
+    return f"""{_shifts(horizon, price)}
 select event_id, higher_window, higher_found, lower_window, lower_found from shifts"""
 
 
@@ -165,6 +165,7 @@ select win as "window", count(*) as documents from scores group by win""",
     "price_shift_20s": _price_shift(20),
     "price_shift_7200s": _price_shift(LONG_HORIZON),
     "price_shift_split": _price_shift(LONG_HORIZON),
+    "price_shift_rising": _price_shift(LONG_HORIZON, "event_id::double"),
     "first_higher": _first("higher"),
     "first_lower": _first("lower"),
     "price_shift_messages": _MESSAGES,

@@ -177,8 +177,15 @@ def _price_shift(horizon: int) -> Query:
 
 
 def price_shift_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With every slot of a usual size taken for a hot one, and split."""
-    return price_shifts(_ticks(spark, sf_dir, "event_id"), LONG_HORIZON, hot_slot=20).select(
+    """In many pieces, so that most ticks are near the edge of one."""
+    return price_shifts(_ticks(spark, sf_dir, "event_id"), LONG_HORIZON, pieces=64).select(
+        "event_id", "higher_window", "higher_found", "lower_window", "lower_found")
+
+
+def price_shift_rising(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of prices that only ever rise, in many pieces."""
+    rising = _ticks(spark, sf_dir, "event_id").withColumn("price", F.col("event_id").cast("double"))
+    return price_shifts(rising, LONG_HORIZON, pieces=64).select(
         "event_id", "higher_window", "higher_found", "lower_window", "lower_found")
 
 
@@ -317,6 +324,7 @@ QUERIES: dict[str, Query] = {
     "price_shift_20s": _price_shift(20),
     "price_shift_7200s": _price_shift(LONG_HORIZON),
     "price_shift_split": price_shift_split,
+    "price_shift_rising": price_shift_rising,
     "first_higher": _first(HIGHER),
     "first_lower": _first(LOWER),
     "price_shift_messages": price_shift_messages,
