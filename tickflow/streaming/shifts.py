@@ -66,11 +66,11 @@ def streaming_price_shifts(
 def _slot_state(limit: int, width: int, eager: bool):
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         symbol, slot = key
-        us, price, marks = _load(state)
+        parts = [_load(state)]
         for frame in frames:
-            us = np.concatenate([us, frame["us"].to_numpy(dtype=np.int64)])
-            price = np.concatenate([price, frame["price"].to_numpy(dtype=np.float64)])
-            marks = np.concatenate([marks, np.where(frame["asks"], _ASKS, 0).astype(np.uint8)])
+            parts.append((frame["us"].to_numpy(dtype=np.int64), frame["price"].to_numpy(dtype=np.float64),
+                          np.where(frame["asks"], _ASKS, 0).astype(np.uint8)))
+        us, price, marks = (np.concatenate(part) for part in zip(*parts))
         latest_first = np.argsort(-us, kind="stable")
         latest_first = latest_first[_worth_keeping(us[latest_first], price[latest_first], slot + width)]
         us, price, marks = us[latest_first], price[latest_first], marks[latest_first]
