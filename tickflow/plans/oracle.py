@@ -67,7 +67,7 @@ select t as "timestamp", symbol, win as "window", {_rounded('z')} as zscore_pric
 def _shifts(horizon: int, price: str = "value") -> str:
     def seconds(side: str) -> str:
         return f"coalesce(({side} // 1000) / 1000.0, {horizon}.0)::double"
-    return f"""with ticks as (select event_id, event_type as symbol, {price} as price, ts, epoch_us(ts) as us from events),
+    return f"""with ticks as (select event_id, event_type as symbol, {price} as price, ts, epoch_us(ts) as us from events where {price} is not null),
 gaps as (
   select a.event_id, a.symbol, a.ts,
          min(case when b.price > a.price then b.us - a.us end) as hi,
@@ -154,6 +154,7 @@ ORACLE_SQL: dict[str, str] = {
     "window_stats_default": _window_stats(LADDER),
     "window_stats_scaled": _window_stats(LADDER_SCALED),
     "window_stats_nested": f"with {_ladder(LADDER)} " + _NESTED.format(table="stats"),
+    "window_stats_nested_values": _window_stats(LADDER),
     "window_stats_wire": _window_stats(LADDER_SCALED),
     "zscore_default": _zscores(LADDER, 1),
     "zscore_scaled": _zscores(LADDER_SCALED, HOUR),
@@ -166,16 +167,21 @@ select win as "window", count(*) as documents from scores group by win""",
     "price_shift_7200s": _price_shift(LONG_HORIZON),
     "price_shift_split": _price_shift(LONG_HORIZON),
     "price_shift_rising": _price_shift(LONG_HORIZON, "event_id::double"),
+    "price_shift_null_prices": _price_shift(LONG_HORIZON, "(case when value >= 50 then value end)"),
     "first_higher": _first("higher"),
     "first_lower": _first("lower"),
     "price_shift_messages": _MESSAGES,
     "stream_ingest": """select 'good' as outcome, count(*) as records from events
 union all select 'missing_field', count(*) from events
 union all select 'bad_price', count(*) from orders""",
+    "stream_ingest_ticks": f"""select event_type as symbol, {_rounded('value')} as price, count(*) as records
+from events group by all""",
     "stream_hour_price": _second_price(HOUR),
+    "stream_late_ticks": _second_price(HOUR),
     "stream_window_stats": _window_stats(LADDER_SCALED),
     "stream_window_stats_from_slots": _window_stats(LADDER_SCALED),
     "stream_zscore": _DOCUMENTS,
+    "stream_zscore_chained": _DOCUMENTS,
     "stream_price_shift": _SHIFT_EVENTS,
     "stream_price_shift_eager": _SHIFT_EVENTS,
     "stream_route": _DOCUMENTS,

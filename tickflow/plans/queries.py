@@ -148,6 +148,11 @@ def zscore_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tidy(joined, *_SCORE_DOUBLES)
 
 
+def window_stats_nested_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested and taken apart again, with the values."""
+    return _tidy(unnest_stats(nested_window_stats(_ticks(spark, sf_dir))), "avg_price", "std_price")
+
+
 def zscore_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = nested_zscores(_ticks(spark, sf_dir), LADDER_SCALED, HOUR)
     return _tidy(nested.select("timestamp", "symbol", F.array_join("zscores.window", ",").alias("windows")))
@@ -189,6 +194,13 @@ def price_shift_rising(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "higher_window", "higher_found", "lower_window", "lower_found")
 
 
+def price_shift_null_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where prices are missing: such ticks neither ask nor answer."""
+    ticks = _ticks(spark, sf_dir, "event_id").withColumn("price", F.when(F.col("price") >= 50, F.col("price")))
+    return price_shifts(ticks, LONG_HORIZON).select(
+        "event_id", "higher_window", "higher_found", "lower_window", "lower_found")
+
+
 def _first(kind: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         events = shift_events(price_shifts(_ticks(spark, sf_dir), LONG_HORIZON))
@@ -219,6 +231,29 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("records"))
 
 
+def stream_ingest_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is published of raw records: symbols and prices, and how often."""
+    raw, published, rejected = (scratch_dir(spark, n) for n in ("raw", "published", "rejected"))
+    write_batch(ticks_as_records(_ticks(spark, sf_dir)), "text", raw)
+    run_to_end(start_ingest(
+        spark, End("text", raw), End("text", published), End("text", rejected), scratch_dir(spark, "checkpoint"),
+        available_now=True))
+    ticks = ingest.parse_ticks(read_records(spark, "text", published))
+    return ticks.groupBy("symbol", rounded(F.col("price")).alias("price")).agg(F.count(F.lit(1)).alias("records"))
+
+
+def stream_late_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tick comes once more, with another price, after the watermark has passed it."""
+    landing, checkpoint, out = (scratch_dir(spark, n) for n in ("landing", "checkpoint", "prices"))
+    ticks = _ticks(spark, sf_dir)
+    for part in (ticks, flush_tick(ticks), ticks.withColumn("price", F.col("price") + 1), flush_tick(ticks, times=2)):
+        ticks_as_records(part).write.mode("append").text(landing)
+        with stream_settings(spark, partitions=_STATE):
+            prices = ingest.second_price(ingest.parse_ticks(read_records(spark, "text", landing, stream=True)), HOUR)
+            run_to_end(write_stream(prices, checkpoint, "parquet", out, available_now=True))
+    return _tidy(_no_flush(spark.read.parquet(out)), "price")
+
+
 def stream_hour_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "prices")
 
@@ -279,6 +314,24 @@ def stream_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tidy(_no_flush(unnest_scores(nested)), "zscore_price")
 
 
+def stream_zscore_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streaming jobs by turns, each over several restarts: statistics from ticks, scores from both."""
+    ticks = _ticks(spark, sf_dir)
+    stats_in, out = scratch_dir(spark, "stats"), scratch_dir(spark, "scores")
+
+    def start(records: DataFrame, checkpoint: str):
+        parsed = ingest.parse_ticks(records)
+        per_window = to_wire(streaming_nested_stats(streaming_window_stats(parsed, LADDER_SCALED), LADDER_SCALED))
+        run_to_end(write_stream(per_window, f"{checkpoint}-stats", "text", stats_in, available_now=True))
+        stats = unnest_stats(ingest.from_wire(read_records(spark, "text", stats_in, stream=True), WINDOW_STATS_WIRE))
+        nested = streaming_nested_scores(parsed, stats, LADDER_SCALED, HOUR)
+        return write_stream(to_wire(nested), checkpoint, "text", out, available_now=True)
+
+    replay_ticks(spark, ticks, start, steps=2, flush_twice=True, partitions=_STATE)
+    nested = ingest.from_wire(read_records(spark, "text", out), ZSCORES_WIRE)
+    return _tidy(_no_flush(unnest_scores(nested)), "zscore_price")
+
+
 def _stream_price_shift(emit: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = scratch_dir(spark, "shifts")
@@ -314,6 +367,7 @@ QUERIES: dict[str, Query] = {
     "window_stats_default": _window_stats(LADDER),
     "window_stats_scaled": _window_stats(LADDER_SCALED),
     "window_stats_nested": window_stats_nested,
+    "window_stats_nested_values": window_stats_nested_values,
     "window_stats_wire": window_stats_wire,
     "zscore_default": _zscores(LADDER, 1),
     "zscore_scaled": _zscores(LADDER_SCALED, HOUR),
@@ -325,14 +379,18 @@ QUERIES: dict[str, Query] = {
     "price_shift_7200s": _price_shift(LONG_HORIZON),
     "price_shift_split": price_shift_split,
     "price_shift_rising": price_shift_rising,
+    "price_shift_null_prices": price_shift_null_prices,
     "first_higher": _first(HIGHER),
     "first_lower": _first(LOWER),
     "price_shift_messages": price_shift_messages,
     "stream_ingest": stream_ingest,
+    "stream_ingest_ticks": stream_ingest_ticks,
     "stream_hour_price": stream_hour_price,
+    "stream_late_ticks": stream_late_ticks,
     "stream_window_stats": stream_window_stats,
     "stream_window_stats_from_slots": stream_window_stats_from_slots,
     "stream_zscore": stream_zscore,
+    "stream_zscore_chained": stream_zscore_chained,
     "stream_price_shift": _stream_price_shift("final"),
     "stream_price_shift_eager": _stream_price_shift("eager"),
     "stream_route": stream_route,
