@@ -272,6 +272,22 @@ def test_line_runs_equal_brute_force(spark, least):
     assert [r.text for r in got.orderBy("doc_id").collect()] == _line_runs(rows, least)
 
 
+@needs_data
+def test_no_later_copy_of_a_line_stays_on_the_tables(docs, texts):
+    seen, expected, short = set(), {}, 0
+    for doc_id in sorted(texts):
+        left = []
+        for line in texts[doc_id].split("\n"):
+            again = bool(words(line)) and line in seen
+            seen.add(line)
+            short += again and len(words(line)) < 10
+            if not again:
+                left.append(line)
+        expected[doc_id] = "\n".join(left)
+    assert short > 0
+    assert {r.doc_id: r.text for r in line_runs.deduplicated(docs).collect()} == expected
+
+
 def test_licences_on_held_out_notices(spark):
     plain = [f"plain text number {i} about rivers and hills and work that is done under the sun" for i in range(80)]
     held_out = {
