@@ -306,6 +306,51 @@ def test_licences_on_held_out_notices(spark):
     assert all(got[t] is None for t in plain)
 
 
+WRAPPED = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights""",
+    "bsd": """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions
+# are met:""",
+    "gpl-3.0": """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or""",
+    "apache-2.0": """// Licensed under the Apache License,
+// Version 2.0 (the "License"); you may not use
+// this file except in compliance with the License.""",
+    "cc-by": "This work is licensed under a Creative\nCommons Attribution 4.0\nInternational License.",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the\nMozilla Public License, v. 2.0. If a copy of the MPL was not",
+}
+
+
+def test_licences_of_wrapped_notices(spark):
+    plain = [f"plain text number {i} about rivers and hills and work that is done under the sun" for i in range(80)]
+    narrow = "\n".join(re.sub(r"((?:\S+\s+){2}\S+)\s+", r"\1\n", " ".join(WRAPPED["mit"].split()[:20])).split("\n"))
+    reworded = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of\nthis software together with associated documentation files",
+        "bsd": "Redistribution and use in source and binary forms, with or without changes,\nare permitted provided that the following conditions are met",
+        "gpl-3.0": "The program is free software; you can redistribute it and/or modify it under\nthe terms of the GNU General Public License as published by the Free Software Foundation",
+    }
+    notices = [*WRAPPED.items(), ("mit", narrow), *reworded.items()]
+    rows = [(i, t) for i, t in enumerate(plain)]
+    rows += [(100 + i, f"{plain[i]}\n{t}\n{plain[i + 1]}") for i, (_, t) in enumerate(notices)]
+    rows += [(200 + i, f"{plain[i]}\n\n{t}\n \n{plain[i + 1]}") for i, (_, t) in enumerate(notices)]
+    # An empty line ends a notice, and lines of other documents do not continue it.
+    head, tail = WRAPPED["bsd"].split("\n", 1)
+    rows += [(300, f"{head}\n\n{tail}"), (301, head), (302, tail)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model = licenses.train(spark.createDataFrame(rows[:len(plain)], "doc_id long, text string"), background_rows=60)
+    got = {r.doc_id: r for r in licenses.licence_report(docs, model=model).collect()}
+    for i, (family, text) in enumerate(notices):
+        for at in (100 + i, 200 + i):
+            assert (at, got[at].licences) == (at, [family])
+            assert 1 <= got[at].n_licence <= len(text.split("\n"))
+            assert got[at].n_paragraphs == len(text.split("\n")) + 2
+    assert not any("bsd" in got[i].licences for i in (300, 301, 302))
+    assert all(got[i].licences == [] for i in range(len(plain)))
+
+
 @needs_data
 def test_pipeline_stages_follow_each_other(spark):
     import corpus_pipeline

@@ -17,6 +17,15 @@ confirmed if the paragraph holds `containment` of the word pairs of one of the
 family's templates. A paragraph that the model takes for a licence, but that is
 below the threshold or not confirmed, is `unknown`.
 
+Notices that are wrapped run over several lines. So each line that holds a word
+pair of a template, or meets its neighbour in one, is also joined to the lines
+after it, one by one, up to a line without a word or until the lines after it
+have half as many words again as the longest template. Joined lines are classified and confirmed like one
+paragraph. If they are confirmed, those of them that are not confirmed alone
+and hold pairs of that family's templates are of the family, too: all that are
+`unknown` alone, and of the rest those where the pairs are half as many as the
+words or more.
+
 Everything on the path of the corpus is a column expression; the model is a few
 arrays of constants, whose size is bounded by the templates. There is no
 shuffle but for the sum per document.
@@ -42,6 +51,7 @@ BACKGROUND_ROWS = 4000
 CONTAINMENT = 0.8
 UNKNOWN = "unknown"
 NONE = "none"
+REACH = 1.5  # words of following lines that a line is joined to, by the words of the longest template
 _TOKEN = r"[\p{L}\p{N}.\-]*[\p{L}\p{N}]"
 
 # Customary notices of each licence family.
@@ -112,19 +122,22 @@ def _constants(values: list, kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
+def _numbered(hashes: Column, numbers: list[int]) -> Column:
+    """Numbers of the features with weight among hashes, each once."""
+    numbered = F.transform(hashes, lambda h: F.get(_constants(numbers, "int"), _bucket(h)))
+    return F.array_distinct(F.filter(numbered, lambda n: n >= 0))
+
+
 def _feature_numbers(text: Column, numbers: list[int]) -> Column:
     """Numbers of the features with weight that a paragraph has, each once."""
-    numbered = F.transform(_hashes(_tokens(text)), lambda h: F.get(_constants(numbers, "int"), _bucket(h)))
-    return F.array_distinct(F.filter(numbered, lambda n: n >= 0))
+    return _numbered(_hashes(_tokens(text)), numbers)
 
 
-def _containment(text: Column, family: Column, pairs: dict[str, list[list[int]]]) -> Column:
-    """Largest share of a template's word pairs that the paragraph holds, over the templates of its family."""
-    def best(hashes: Column) -> Column:
-        return F.greatest(F.lit(0.0), *(
-            F.when(family == name, F.size(F.array_intersect(hashes, _constants(known, "bigint"))) / len(known)).otherwise(0.0)
-            for name, templates in pairs.items() for known in templates))
-    return let(_hashes(_tokens(text)), best)
+def _containment(held: Column, family: Column, pairs: dict[str, list[list[int]]]) -> Column:
+    """Largest share of a template's word pairs that are among those held, over the templates of its family."""
+    return F.greatest(F.lit(0.0), *(
+        F.when(family == name, F.size(F.array_intersect(held, _constants(known, "bigint"))) / len(known)).otherwise(0.0)
+        for name, templates in pairs.items() for known in templates))
 
 
 def template_pairs(spark: SparkSession) -> dict[str, list[list[int]]]:
@@ -139,9 +152,25 @@ def template_pairs(spark: SparkSession) -> dict[str, list[list[int]]]:
     return out
 
 
-def paragraphs(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(row, paragraph): every line of every document; a document without lines has one null paragraph."""
-    return docs.select(F.struct("*").alias("row"), F.explode_outer(F.split(F.col(text), "\n")).alias("paragraph"))
+def _lines(text: Column, numbers: list[int], known: Column) -> Column:
+    """An array of structs, one for each line: its text, words, feature numbers and template pairs; and with its neighbours.
+
+    `links` are the template pairs with those that reach over to the lines
+    before and after, `across` the feature numbers of the latter.
+    """
+    def line(x: Column) -> Column:
+        return let(F.transform(_tokens(x), lambda t: F.xxhash64(t)), lambda h: let(_pairs(h), lambda p: F.struct(
+            x.alias("text"), F.size(h).alias("n"), F.get(h, F.lit(0)).alias("head"), F.get(h, F.size(h) - 1).alias("tail"),
+            _numbered(F.concat(h, p), numbers).alias("numbers"), F.array_intersect(p, known).alias("held"))))
+
+    def linked(all_lines: Column, x: Column, i: Column) -> Column:
+        def pair(left: Column, right: Column) -> Column:
+            return F.when(left.isNotNull() & right.isNotNull(), F.xxhash64(left, right))
+        edges = F.array(pair(F.get(all_lines, i - 1)["tail"], x["head"]), pair(x["tail"], F.get(all_lines, i + 1)["head"]))
+        return let(F.array_intersect(edges, known), lambda e: F.struct(
+            x["text"].alias("text"), x["n"].alias("n"), x["numbers"].alias("numbers"), x["held"].alias("held"),
+            F.array_union(x["held"], e).alias("links"), _numbered(e, numbers).alias("across")))
+    return let(F.transform(F.split(text, "\n"), line), lambda all_lines: F.transform(all_lines, lambda x, i: linked(all_lines, x, i)))
 
 
 def _examples(spark: SparkSession, background: list[str]) -> DataFrame:
@@ -186,13 +215,13 @@ def train(docs: DataFrame, text: str = "text", background_rows: int = BACKGROUND
     weights = [[float(x) for x in row] for row in fitted.coefficientMatrix.toArray()]
     model = Model(numbers, weights, [float(x) for x in fitted.interceptVector], 0.0)
     apart = spark.createDataFrame([(t,) for t in held_out], "text string")
-    confident = apart.select(_prediction(F.col("text"), model).alias("p")).select("p.confidence").orderBy(F.desc("confidence"))
+    confident = apart.select(_prediction(_feature_numbers(F.col("text"), numbers), model).alias("p")).select("p.confidence").orderBy(F.desc("confidence"))
     worst = [r[0] for r in confident.limit(len(held_out) // 100 + 1).collect()]
     return Model(numbers, weights, model.intercepts, max(0.5, worst[-1] if worst else 0.5))
 
 
-def _prediction(text: Column, model: Model) -> Column:
-    """Struct: the likeliest family, the probability of it among all classes, and whether it beats no licence."""
+def _prediction(features: Column, model: Model) -> Column:
+    """Struct, from feature numbers: the likeliest family, the probability of it among all classes, and whether it beats no licence."""
     def score(features: Column, k: int) -> Column:
         weights = _constants([f"{w:.6f}" for w in model.weights[k]], "double")
         return F.aggregate(features, F.lit(model.intercepts[k]), lambda total, n: total + F.get(weights, n))
@@ -206,18 +235,82 @@ def _prediction(text: Column, model: Model) -> Column:
         return F.struct(name.alias("family"), (F.exp(best - top) / total).alias("confidence"),
                         (best > F.get(scores, len(FAMILIES))).alias("licence"))
     classes = range(len(FAMILIES) + 1)
-    return let(_feature_numbers(text, model.numbers), lambda f: let(F.array(*(score(f, k) for k in classes)), choose))
+    return let(features, lambda f: let(F.array(*(score(f, k) for k in classes)), choose))
+
+
+def _joined(lines: Column, at: Column, reach: int, family_of) -> Column:
+    """The family that the line at a place has when it is joined to lines after it (null for none), and how many lines that are."""
+    first = F.get(lines, at)
+    start = F.struct(F.array_union(first["numbers"], first["across"]).alias("numbers"), first["links"].alias("links"),
+                     F.lit(0).alias("words"), F.lit(1).alias("lines"), F.lit(True).alias("open"), F.lit(None).cast("string").alias("family"))
+
+    def add(s: Column, y: Column) -> Column:
+        longer = F.struct(F.array_union(s["numbers"], F.array_union(y["numbers"], y["across"])).alias("numbers"),
+                          F.array_union(s["links"], y["links"]).alias("links"))
+        grown = let(longer, lambda g: F.struct(
+            g["numbers"].alias("numbers"), g["links"].alias("links"), (s["words"] + y["n"]).alias("words"), (s["lines"] + 1).alias("lines"),
+            F.lit(True).alias("open"), F.coalesce(s["family"], family_of(g["numbers"], g["links"])).alias("family")))
+        closed = F.struct(s["numbers"].alias("numbers"), s["links"].alias("links"), s["words"].alias("words"), s["lines"].alias("lines"),
+                          F.lit(False).alias("open"), s["family"].alias("family"))
+        return F.when(~s["open"], s).when((y["n"] == 0) | (s["words"] >= reach), closed).otherwise(grown)
+    # Each line that is joined has a word, so there are `reach` of them at most.
+    grown = F.aggregate(F.slice(lines, at + 2, reach), start, add)
+    return F.when(F.size(first["links"]) > 0, let(grown, lambda s: F.struct(s["family"].alias("family"), s["lines"].alias("lines"))))
+
+
+def _licences(lines: Column, model: Model, pairs: dict[str, list[list[int]]], reach: int, containment: float) -> Column:
+    """An array of structs, one for each line: text and licence."""
+    def confirmed(p: Column, held: Column) -> Column:
+        return (p["confidence"] >= model.threshold) & (_containment(held, p["family"], pairs) >= containment)
+
+    def alone(x: Column) -> Column:
+        return let(_prediction(x["numbers"], model), lambda p: F.when(~p["licence"], None).when(
+            confirmed(p, x["held"]), p["family"]).otherwise(F.lit(UNKNOWN)))
+
+    def together(numbers: Column, held: Column) -> Column:
+        # The model is asked only where some template is there.
+        there = F.lit(False)
+        for known in (known for templates in pairs.values() for known in templates):
+            there = there | (F.size(F.array_intersect(held, _constants(known, "bigint"))) >= containment * len(known))
+        return F.when((F.size(held) > 1) & there, let(_prediction(numbers, model), lambda p: F.when(
+            p["licence"] & confirmed(p, held), p["family"])))
+
+    def shared(x: Column, family: Column) -> Column:
+        """Number of the line's pairs that are in templates of the family."""
+        counts = F.lit(0)
+        for name, templates in pairs.items():
+            known = sorted({pair for template in templates for pair in template})
+            counts = F.when(family == name, F.size(F.array_intersect(x["links"], _constants(known, "bigint")))).otherwise(counts)
+        return counts
+
+    def whole(of: Column, joined: Column) -> Column:
+        def licence(x: Column, i: Column) -> Column:
+            near = F.greatest(i - reach, F.lit(0))
+            reaching = F.filter(F.transform(F.slice(joined, near + 1, i - near + 1), lambda j, k: F.when(
+                j["lines"] > i - near - k, j["family"])), lambda family: family.isNotNull())
+            # The nearest start counts first.
+            part = F.filter(F.reverse(reaching), lambda family: let(shared(x, family), lambda n: (n > 0) & (
+                (x["alone"] == UNKNOWN).eqNullSafe(F.lit(True)) | (2 * n >= x["n"]))))
+            return F.when((F.size(x["links"]) == 0) | (x["alone"] != UNKNOWN), x["alone"]).otherwise(F.coalesce(F.get(part, F.lit(0)), x["alone"]))
+        return F.transform(of, lambda x, i: F.struct(x["text"].alias("text"), licence(x, i).alias("licence")))
+
+    def judged(all_lines: Column) -> Column:
+        single = F.transform(all_lines, lambda x: F.struct(
+            x["text"].alias("text"), x["n"].alias("n"), x["links"].alias("links"), alone(x).alias("alone")))
+        joined = F.transform(all_lines, lambda x, i: _joined(all_lines, i, reach, together))
+        return let(F.struct(single.alias("single"), joined.alias("joined")), lambda s: whole(s["single"], s["joined"]))
+    return let(lines, judged)
 
 
 def scanned(docs: DataFrame, text: str = "text", model: Model | None = None, containment: float = CONTAINMENT) -> DataFrame:
-    """(row, paragraph, licence): the family of every paragraph, `unknown`, or null for none."""
+    """(row, paragraph, licence): the family of every line, `unknown`, or null for none; a document without lines has one null paragraph."""
     model = model or train(docs, text)
     pairs = template_pairs(docs.sparkSession)
-    judged = paragraphs(docs, text).withColumn("p", _prediction(F.col("paragraph"), model))
-    sure = F.col("p.confidence") >= model.threshold
-    confirmed = _containment(F.col("paragraph"), F.col("p.family"), pairs) >= containment
-    licence = F.when(~F.col("p.licence"), None).when(sure & confirmed, F.col("p.family")).otherwise(F.lit(UNKNOWN))
-    return judged.select("row", "paragraph", licence.alias("licence"))
+    known = _constants(sorted({pair for templates in pairs.values() for template in templates for pair in template}), "bigint")
+    reach = int(REACH * max(len(template) + 1 for templates in pairs.values() for template in templates))
+    lines = _lines(F.col(text), model.numbers, known)
+    judged = docs.select(F.struct("*").alias("row"), F.explode_outer(_licences(lines, model, pairs, reach, containment)).alias("of"))
+    return judged.select("row", F.col("of.text").alias("paragraph"), F.col("of.licence").alias("licence"))
 
 
 def licence_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: Model | None = None,
