@@ -1,28 +1,26 @@
-"""Substring dedup by relative Lempel-Ziv parsing against blocks of the corpus itself.
-
-A window is `window` consecutive words of one document. The reference is every
-document; it is cut by window hash into blocks (shuffle partitions), and each
-block is an index from window to the smallest doc_id it starts in. A document
-is parsed from the left: a factor starts at a word whose window has an earlier
-document in the index, and is extended word by word while the next window has
-one too. Its windows cover at least `window` words, so every factor is long
-enough. At a factor's end the windows that start in its last words are looked
-up as well, so a copy that changes its source there is found by the next,
-overlapping factor. Words under a factor are removed.
+"""Substring dedup by window coverage: hashes of all windows stand in for a relative Lempel-Ziv parse of the corpus.
+
+A window is `window` consecutive words of one document. Words are removed that
+lie in a window which also starts in a document with a smaller doc_id. A greedy
+relative Lempel-Ziv parse that looks up again at the ends of its factors covers
+the same words; it is not done here. There are no factors, no places in a
+reference and no comparison of words: windows are grouped by hash, those that
+an earlier document has are marked, and the union of the marked ones goes.
+`spans` are runs of covered words, which may come from several documents.
 
 Sending every window to its block would move the corpus several times over. A
 window is only looked up if its anchor is shared: the anchor is the least hash
 among the window's `gram`-word grams, so equal windows have equal anchors, and a
 run of neighbours has the same one. First the anchors that two documents or
-more share are found, then the windows around these are parsed.
+more share are found, then the windows around these are looked up.
 
 Tasks combine before each shuffle: of the documents a task holds together, all
 but the smallest know at once that a window (or anchor) is shared, and one row
 stands for the rest. So a passage that a third of all documents share is a row
 per run of documents, and its other rows are dealt out by document.
 
-Windows are compared by 64-bit hashes; at n windows about n^2 / 2^65 pairs of
-different ones agree by chance.
+Windows are compared by 64-bit hashes only; at n windows about n^2 / 2^65 pairs
+of different ones agree by chance (0.7 at 5e9), and their words would be lost.
 
 Defined cases: a null text has no words; texts of fewer words than a window
 lose nothing; rows with a null doc_id are no reference and lose nothing; rows
