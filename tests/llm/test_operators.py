@@ -172,6 +172,15 @@ def test_scores_tell_good_from_bad(spark):
     assert all(r.kept == (labels[r.doc_id] == 1) for r in rows)
 
 
+def test_every_document_labelled_good_is_counted(spark):
+    docs = spark.range(10_050).selectExpr("id as doc_id", "concat('w', id) as text")
+    labels = docs.selectExpr("doc_id", "1 as quality", "0 as toxic")
+    trusted = quality.trusted_ids(labels)
+    assert trusted.count() == 10_050
+    # All raw text is trusted.
+    assert set(quality.log_ratios(docs, trusted)) == {0.0}
+
+
 def test_without_labels_only_the_base_rules_decide(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     one = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(60))), (2, "short")], "doc_id long, text string")

@@ -2,17 +2,17 @@
 
 Features are single tokens (runs of letters and digits, runs of other signs)
 and pairs of neighbours, hashed into `buckets`. Two multinomials
-over the buckets are counted: raw over every document, trusted over a sample
-of at most `trusted_rows` documents whose labels say so (the smallest hashes of
-their ids: a documented bound of the sample, not of the documents judged). A
+over the buckets are counted: raw over every document, trusted over every
+document whose labels say so, found by a join on the document's id. A
 document's score is the mean over its features of log(trusted / raw), both
 smoothed; every document with a score under `threshold` is rejected, without
 chance.
 
 All of it is built from column expressions. Counting adds up buckets in each
 task before the shuffle, so neither a long text nor a frequent pair is a hot
-key; scoring needs no shuffle: the model is an array of `buckets` numbers, a
-size that does not grow with the corpus.
+key; texts are dealt out once by id for the labels. Scoring needs no shuffle:
+the model is an array of `buckets` numbers, a size that does not grow with the
+corpus.
 
 Defined cases: a null text has no words, fails the base rules and is rejected;
 a document without features scores 0; without trusted labels, or labels at
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from tickflow.llm.helpers import WORD, let, saved
 
 BUCKETS = 1 << 16
-TRUSTED_ROWS = 10_000
 THRESHOLD = -0.35
 SMOOTHING = 1.0
 MIN_WORDS = 50
@@ -105,19 +104,20 @@ def measures(text: Column, ratios: list[float]) -> Column:
         _mean_ratio(text, ratios).alias("score")))
 
 
-def trusted_ids(labels: DataFrame, doc_id: str = "doc_id", rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids of at most so many documents labelled good and not toxic, the same ones in every run."""
+def trusted_ids(labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """Ids of all documents labelled good and not toxic, each once."""
     good = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select(F.col(doc_id).alias("trusted_id")).distinct()
-    return good.filter("trusted_id is not null").orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(rows)
+    return good.filter("trusted_id is not null")
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text",
                buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
     """log(trusted / raw) of every bucket."""
-    # At most TRUSTED_ROWS ids.
-    marked = docs.select(F.col(doc_id).alias("id"), features(F.col(text), buckets).alias("features")).join(
-        F.broadcast(trusted), F.col("id") == F.col("trusted_id"), "left")
-    each = marked.select(F.col("trusted_id").isNotNull().cast("long").alias("trusted"), F.explode("features").alias("bucket"))
+    # Texts are dealt out, as they are smaller than their features; by hint, so that the plan is the same at all sizes.
+    marked = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
+        trusted.hint("shuffle_hash"), F.col("id") == F.col("trusted_id"), "left")
+    each = marked.select(F.col("trusted_id").isNotNull().cast("long").alias("trusted"),
+                         F.explode(features(F.col("text"), buckets)).alias("bucket"))
     counts = saved(each.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("trusted")))
     raw, good = [0] * buckets, [0] * buckets
     for row in counts.collect():  # one row per bucket
