@@ -20,10 +20,8 @@ come; an empty table gives no pieces.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.llm.arrow_text import gather, slices, words_of
+from tickflow.llm.word_tokens import public_tokenizer, word_tokens
 
 CAPACITY = 4096
 END_TOKEN = 1
@@ -40,87 +39,11 @@ _SLICE_BYTES = 8 << 20
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
-
-class WordTokens:
-    """Token ids of words. Up to `most` words are remembered from one run of documents to the next."""
-
-    def __init__(self, path: str, most: int = 1_000_000, together: int = 256):
-        from tokenizers import Tokenizer
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        # Words are encoded many at a time, with a special token between them.
-        self.joining = Tokenizer.from_file(path)
-        self.special = {t.content: i for i, t in self.joining.get_added_tokens_decoder().items() if t.special}
-        self.most, self.together = most, together
-        self.known: dict[bytes, int] = {}
-        self.firsts, self.lengths, self.tokens = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of tokens, and the tokens, of words without white space."""
-        if not self.special:
-            return self._encode_each(words)
-        mark, others = next(iter(self.special)), [s for s in self.special][1:]
-        groups = [words[i:i + self.together] for i in range(0, len(words), self.together)]
-        texts = [mark.join(g) for g in groups]
-        # Where a word holds a special token's string, the words go one by one.
-        plain = [t.count(mark) == len(g) - 1 and not any(o in t for o in others) for g, t in zip(groups, texts)]
-        encoded = iter(self.joining.encode_batch_fast([t for t, p in zip(texts, plain) if p], add_special_tokens=False))
-        lengths, tokens = [], []
-        for group, together in zip(groups, plain):
-            if together:
-                ids = np.array(next(encoded).ids, np.uint32)
-                marks = np.flatnonzero(ids == self.special[mark])
-                lengths.append(np.diff(np.concatenate(([-1], marks, [len(ids)]))) - 1)
-                tokens.append(np.delete(ids, marks))
-            else:
-                alone = self._encode_each(group)
-                lengths.append(alone[0])
-                tokens.append(alone[1])
-        return np.concatenate([np.zeros(0, np.int64), *lengths]), np.concatenate([np.zeros(0, np.uint32), *tokens])
-
-    def _encode_each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        return lengths, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
-
-    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For distinct words: where their tokens start, how many they are, and the array these are in."""
-        known = len(self.firsts)
-        find = self.known.get
-        at = np.array([find(w, -1) for w in words], np.int64)
-        new = np.flatnonzero(at < 0)
-        unknown = [words[i] for i in new.tolist()]
-        more, ids = self.encode([w.decode() for w in unknown])
-        lengths = np.concatenate([self.lengths, more])
-        firsts = np.concatenate([self.firsts, np.cumsum(more) - more + len(self.tokens)])
-        tokens = np.concatenate([self.tokens, ids])
-        at[new] = known + np.arange(len(new))
-        if known + len(new) <= self.most:
-            self.known.update(zip(unknown, range(known, known + len(new))))
-            self.firsts, self.lengths, self.tokens = firsts, lengths, tokens
-        return firsts[at], lengths[at], tokens
-
-
-_LOADED: dict[str, WordTokens] = {}
-
-
-def _word_tokens(path: str) -> WordTokens:
-    """One per worker process."""
-    if path not in _LOADED:
-        _LOADED[path] = WordTokens(path)
-    return _LOADED[path]
-
-
 def _pieces(path: str, capacity: int, end_token: int, keep_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, _SLICE_BYTES):
             counts, codes, distinct = words_of(batch.column("text"))
-            firsts, lengths, tokens = _word_tokens(path).look_up(distinct.to_pylist())
+            firsts, lengths, tokens = word_tokens(path).look_up(distinct.to_pylist())
             flat = tokens[gather(firsts[codes], lengths[codes])].astype("<u4")
             ends = np.cumsum(np.bincount(np.repeat(np.arange(len(counts)), counts), lengths[codes], len(counts)).astype(np.int64))
             stop = np.array([end_token], "<u4")
@@ -165,7 +88,7 @@ class OpenSequences:
         else:
             free, sequence = self.capacity, self.made
             self.made += 1
-            if self.open == self.most:
+            if length < self.capacity and self.open == self.most:
                 self._take((self.levels & -self.levels).bit_length() - 1)  # the fullest is closed
         rest = free - length
         if rest:
