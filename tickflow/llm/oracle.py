@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express; the others are tested against brute force."""
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TERMS = rf"unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
 _WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 
 ORACLE_SQL: dict[str, str] = {
@@ -62,5 +64,21 @@ kept as (select doc_id, string_agg(word, ' ' order by i) kept from words anti jo
 removed as (select doc_id, count(*) n from gone group by doc_id)
 select doc_id, len(w) n_words, coalesce(n, 0) n_removed, sha256(coalesce(kept, '')) kept_sha256
 from split left join kept using (doc_id) left join removed using (doc_id)
+""",
+    "op11_item_search": f"""
+with terms as (select doc_id, {_TERMS} term from documents),
+counted as (select doc_id, term, count(*) tf from terms group by all),
+lengths as (select doc_id, sum(tf)::bigint n from counted group by doc_id),
+corpus as (select count(*) all_docs, sum(n)::bigint all_terms from lengths),
+weights as (
+  select term, floor(1000 * ln((2 * all_docs + 2) / (2 * count(*) + 1)))::bigint w
+  from counted, corpus group by term, all_docs),
+asked as (select distinct item_id, {_TERMS} term from benchmark),
+scores as (
+  select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * all_docs) // all_terms))))::bigint score
+  from asked join counted using (term) join weights using (term) join lengths using (doc_id), corpus group by item_id, doc_id),
+ranked as (
+  select *, row_number() over (partition by item_id order by score desc, doc_id)::int rank from scores where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10
 """,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickflow.llm import (
-    exact_dedup, licenses, line_runs, mixing, packing, quality, sharding, simhash, substrings, token_counts,
+    exact_dedup, item_search, licenses, line_runs, mixing, packing, quality, sharding, simhash, substrings, token_counts,
+    token_files,
 )
 from tickflow.llm.helpers import documents
 
@@ -18,6 +19,10 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": lambda spark, d: mixing.mix_report(documents(spark, d)),
     "op2_shard": lambda spark, d: sharding.shard_report(documents(spark, d), shards=8),
@@ -29,4 +34,6 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": lambda spark, d: substrings.substring_report(documents(spark, d)),
     "op9_license_scan": lambda spark, d: licenses.licence_report(documents(spark, d)),
     "op10_line_dedup": lambda spark, d: line_runs.line_report(documents(spark, d)),
+    "op11_item_search": lambda spark, d: item_search.ranked_documents(documents(spark, d), _benchmark(spark, d)),
+    "op12_token_files": lambda spark, d: token_files.token_report(documents(spark, d)),
 }
