@@ -80,5 +80,33 @@ scores as (
 ranked as (
   select *, row_number() over (partition by item_id order by score desc, doc_id)::int rank from scores where score > 0)
 select item_id, rank, doc_id, score from ranked where rank <= 10
+""",
+    "op13_phrases": f"""
+with pieces as (
+  select coalesce(lang, 'und') lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) piece
+  from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') w from pieces),
+totals as (select lang, sum(len(w))::bigint n from words group by lang),
+counted as (
+  select lang, k, w[i:i + k - 1] words, count(*) a
+  from words, unnest(range(1, len(w) + 1)) t(i), unnest(range(1, 6)) u(k) where i + k - 1 <= len(w)
+  group by all having count(*) >= 100),
+inside as (
+  select distinct s.lang, s.words
+  from counted c, unnest(range(1, c.k)) t(i), unnest(range(2, c.k)) u(k)
+  join counted s on s.lang = c.lang and s.words = c.words[i:i + u.k - 1]
+  where i + u.k - 1 <= c.k and 100 * c.a >= 100 * s.a),
+cuts as (
+  select c.lang, c.words, c.a, n, i, l.a l, r.a r, ((1000::hugeint * c.a * n) // (l.a::hugeint * r.a))::bigint score
+  from counted c join totals using (lang) anti join inside using (lang, words), unnest(range(1, c.k)) t(i)
+  join counted l on l.lang = c.lang and l.words = c.words[1:i]
+  join counted r on r.lang = c.lang and r.words = c.words[i + 1:c.k]),
+lowest as (
+  select *, array_to_string(words, ' ') phrase from cuts
+  qualify row_number() over (partition by lang, words order by score, i) = 1),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from lowest)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
 """,
 }

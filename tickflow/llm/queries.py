@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickflow.llm import (
-    exact_dedup, item_search, licenses, line_runs, mixing, packing, quality, sharding, simhash, substrings, token_counts,
-    token_files,
+    exact_dedup, item_search, licenses, line_runs, mixing, packing, phrases, quality, sharding, simhash, substrings,
+    token_counts, token_files,
 )
 from tickflow.llm.helpers import documents
 
@@ -36,4 +36,5 @@ QUERIES: dict[str, Query] = {
     "op10_line_dedup": lambda spark, d: line_runs.line_report(documents(spark, d)),
     "op11_item_search": lambda spark, d: item_search.ranked_documents(documents(spark, d), _benchmark(spark, d)),
     "op12_token_files": lambda spark, d: token_files.token_report(documents(spark, d)),
+    "op13_phrases": lambda spark, d: phrases.phrases(documents(spark, d)),
 }
