@@ -1,4 +1,5 @@
 import json
+import time
 
 import numpy as np
 import pytest
@@ -7,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tickflow.functions.beyond import Scan
+from tickflow.operators.edges import chain_routes
 from tickflow.operators.shifts import _ranged, placement, price_shifts, shift_events, shift_messages
 
 S = 1_000_000
@@ -186,3 +188,47 @@ def test_scan_equals_brute_force(rows, limit, batch):
     for (g, t, v), answer in zip(rows, got):
         gaps = [u - t for h, u, w in rows if h == g and 0 < u - t < limit and w > v]
         assert answer == (min(gaps) if gaps else -1)
+
+
+def chain_of(best, begins=None, later=None):
+    """Pieces of one symbol from last to first, each with one instant of its own if not told."""
+    n = len(best)
+    begins = begins or [2 * (n - i) for i in range(n)]
+    return [True] * n, [True] * n, begins, [b + 1 for b in begins] if later is None else begins, best, best, later or best
+
+
+@pytest.mark.parametrize("course", COURSES)
+def test_routes_are_found_in_linear_time(course):
+    for n, most in ((8000, 0.3), (100_000, 5.0)):
+        best = [float(COURSES[course](i)) for i in reversed(range(n))]
+        start = time.process_time()
+        askers, targets = chain_routes(*chain_of(best), 4 * n)
+        assert time.process_time() - start < most
+        assert len(askers) <= 2 * n
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.data())
+def test_routes_lead_every_question_to_its_first_answer(data):
+    """Ticks cut into pieces; for each question the first later piece with a better, later price must be the first
+    route of its piece that promises one."""
+    times = sorted(data.draw(st.lists(st.integers(0, 12), min_size=1, max_size=40)))
+    ticks = [(t, float(data.draw(st.integers(0, 5)))) for t in times]
+    cuts = [0, *sorted(data.draw(st.sets(st.integers(1, len(ticks)), max_size=12))), len(ticks)]
+    pieces = [ticks[a:b] for a, b in zip(cuts, cuts[1:]) if a < b][::-1]
+    limit = data.draw(st.integers(1, 14))
+    least = float("-inf")
+    begins, ends, top, later = zip(*((
+        p[0][0], p[-1][0], max(v for _, v in p), max((v for t, v in p if t > p[0][0]), default=least)) for p in pieces))
+    n = len(pieces)
+    askers, targets = chain_routes([True] * n, [True] * n, list(begins), list(ends), list(top), list(top), list(later), limit)
+    routes = {i: [t for a, t in zip(askers, targets) if a == i] for i in range(n)}
+    for i, piece in enumerate(pieces):
+        assert routes[i] == sorted(set(routes[i]), reverse=True)
+        for us, price in piece:
+            def beats(j):
+                return (top[j] if us < begins[j] else later[j]) > price
+            inside = any(t > us and v > price for t, v in piece)
+            if not inside and us + limit > ends[i]:
+                first = next((j for j in range(i - 1, -1, -1) if begins[j] - ends[i] < limit and beats(j)), None)
+                assert next((j for j in routes[i] if beats(j)), None) == first

@@ -10,8 +10,9 @@ records count: ticks that no earlier tick of the piece outdoes.
 `routes` tells from two ticks' worth of numbers per piece which piece can have
 an answer for which. From piece i they lead to those later pieces that beat all
 pieces between, as long as these do not beat everything in i. Routes do not
-cross, so they are at most about two per piece and direction, and all copies
-together are about as many as the ticks, for whatever course of prices.
+cross, so they are at most about two per piece and direction, they are found in
+as many steps, symbol by symbol, and all copies together are about as many as
+the ticks, for whatever course of prices.
 
 Prices of `lower` questions are negated, so that larger is always better. Ticks
 of one instant are no answers to each other, even where it fills several
@@ -170,38 +171,117 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def routes(pieces: DataFrame, limit: int) -> DataFrame:
     """Per piece, from the table of a row per piece: the later pieces that can have an answer for it, the nearest
-    first, and the earlier ones that it can have an answer for."""
-    return pieces.repartition(1).mapInArrow(_routes(limit), _ROUTES)
+    first, and the earlier ones that it can have an answer for.
+
+    Pieces meet per symbol, in a chain; a piece whose last symbol is not its first stands in two chains.
+    """
+    asks, answers = F.col("asks"), F.col("answers")
+
+    def place(symbol: Column, asking: bool, answering: bool) -> Column:
+        return F.struct(symbol.alias("symbol"), F.lit(asking).alias("asking"), F.lit(answering).alias("answering"))
+    places = F.when(asks.eqNullSafe(answers), F.array(place(asks, True, True))).otherwise(
+        F.array(place(asks, True, False), place(answers, False, True)))
+    chained = pieces.withColumn("place", F.explode(places)).select("*", "place.*").drop("place", "asks", "answers")
+    chained = chained.repartition("symbol").sortWithinPartitions("symbol", F.desc("piece"))
+    found = chained.mapInArrow(_routes(limit), _ROUTES)
+    return found.groupBy("_at").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("_targets", "_askers")))
 
 
 def _routes(limit: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = sorted((row for batch in batches for row in batch.to_pylist()), key=lambda row: row["piece"])
-        targets, askers = ({row["piece"]: [] for row in pieces} for _ in range(2))
-        for sign, side in zip(_SIGNS, ("up", "down")):
-            for i, asker in enumerate(pieces):
-                between = -_INF
-                for j in range(i + 1, len(pieces)):
-                    to = pieces[j]
-                    if (to["answers"] != asker["asks"] or to["begins"] - asker["ends"] >= limit
-                            or between > asker[f"top_{side}"]):
-                        break
-                    best, later = to[f"best_{side}"], to[f"later_{side}"]
-                    if best > between:
-                        targets[asker["piece"]].append({
-                            "target": to["piece"], "sign": sign, "begins": to["begins"], "best": best, "later": later})
-                        askers[to["piece"]].append({"asker": asker["piece"], "sign": sign})
-                    # What counts for all questions, also those of an instant that both share.
-                    between = max(between, later if to["begins"] == asker["ends"] else best)
-        target = pa.struct([("target", pa.int32()), ("sign", pa.int32()), ("begins", pa.int64()),
-                            ("best", pa.float64()), ("later", pa.float64())])
-        asker = pa.struct([("asker", pa.int32()), ("sign", pa.int32())])
-        yield pa.RecordBatch.from_arrays([
-            pa.array(list(targets), pa.int32()), pa.array(list(targets.values()), pa.list_(target)),
-            pa.array(list(askers.values()), pa.list_(asker))], names=["_at", "_targets", "_askers"])
+        runs, chain = _Groups(), []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            groups, continued = runs.of(batch)
+            cuts = np.flatnonzero(np.diff(groups, prepend=-1)).tolist()
+            for first, end in zip(cuts, [*cuts[1:], batch.num_rows]):
+                if chain and (first or not continued):
+                    yield _chain_routes(chain, limit)
+                    chain = []
+                chain.append(batch.slice(first, end - first))
+        if chain:
+            yield _chain_routes(chain, limit)
     return run
 
 
+def _chain_routes(chain: list[pa.RecordBatch], limit: int) -> pa.RecordBatch:
+    rows = pa.Table.from_batches(chain)
+    pieces = rows["piece"].to_numpy()
+    found = []  # asking row, row that may answer, sign
+    for sign, side in zip(_SIGNS, ("up", "down")):
+        columns = [rows[name].to_pylist() for name in (
+            "asking", "answering", "begins", "ends", f"top_{side}", f"best_{side}", f"later_{side}")]
+        askers, targets = chain_routes(*columns, limit)
+        found.append((np.array(askers, np.int64), np.array(targets, np.int64), np.full(len(askers), sign, np.int32)))
+    asker, target, sign = (np.concatenate(parts) for parts in zip(*found))
+    best, later = (np.where(sign > 0, rows[f"{name}_up"].to_numpy()[target], rows[f"{name}_down"].to_numpy()[target])
+                   for name in ("best", "later"))
+
+    def lists(of: np.ndarray, columns: dict[str, np.ndarray]) -> pa.ListArray:
+        order = np.argsort(of, kind="stable")
+        offsets = np.searchsorted(of[order], np.arange(len(pieces) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(
+            [pa.array(column[order]) for column in columns.values()], names=list(columns)))
+    return pa.RecordBatch.from_arrays([
+        pa.array(pieces, pa.int32()),
+        lists(asker, {"target": pieces[target], "sign": sign, "begins": rows["begins"].to_numpy()[target], "best": best, "later": later}),
+        lists(target, {"asker": pieces[asker], "sign": sign})], names=["_at", "_targets", "_askers"])
+
+
+def chain_routes(asking: list[bool], answering: list[bool], begins: list[int], ends: list[int], top: list[float],
+                 best: list[float], later: list[float], limit: int) -> tuple[list[int], list[int]]:
+    """Pairs of an asking piece and one that may answer, the nearest first, for one symbol's pieces from last to first.
+
+    `higher[k]` is the next later piece with a larger best, so following it from
+    the piece next to an asker gives the ever larger ones, up to the first that
+    beats all of the asker. Those it does not beat are never followed again once
+    the asker is an answer itself, so steps add up to about two per piece.
+
+    Where the next piece begins at the instant the asker ends at, questions of
+    that instant see pieces that begin then without it: `later` of the last of
+    them, and the larger ones after it.
+    """
+    n = len(best)
+    higher, last, after = [-1] * n, list(range(n)), [-1] * n
+    askers, targets = [], []
+
+    def beyond(k: int, value: float) -> int:
+        while k >= 0 and best[k] <= value:
+            k = higher[k]
+        return k
+
+    def rising(k: int, i: int) -> list[int]:
+        steps = []
+        while k >= 0 and begins[k] < ends[i] + limit:
+            steps.append(k)
+            if best[k] > top[i]:
+                break
+            k = higher[k]
+        return steps
+
+    for i in range(n):
+        if asking[i] and i:
+            near = i - 1
+            at_end = begins[near] == ends[i]
+            before_end = not (at_end and answering[i] and begins[i] == ends[i])  # has questions before its last instant
+            found = rising(beyond(near, -_INF), i) if before_end else []
+            if at_end:
+                z = last[near]
+                shown = [z] if later[z] > -_INF else []
+                if later[z] <= top[i]:
+                    shown += rising(after[z], i)
+                found = sorted({*found, *shown}, reverse=True)
+            askers += [i] * len(found)
+            targets += found
+        if answering[i]:
+            if i and begins[i - 1] == begins[i]:
+                last[i] = last[i - 1]
+            higher[i] = beyond(i - 1, best[i])
+            after[i] = beyond(i - 1, later[i])
+    return askers, targets
+
+
 def placed(edge: DataFrame, columns: list[str], routes_: DataFrame) -> DataFrame:
     """Open questions at the piece that has their answer, and records for the pieces that ask.
 
