@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickflow.llm.arrow_text import slices
+from tickflow.llm.arrow_text import objects, slices
 from tickflow.llm.helpers import in_order, saved
 
 LEAST = 100
@@ -76,7 +76,7 @@ def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch = batch.filter(pc.is_valid(batch.column("text")))
         for lang in pc.unique(batch.column("lang")).to_pylist():
             texts = batch.filter(pc.equal(batch.column("lang"), lang)).column("text")
-            words, piece = _words(pc.cast(texts, pa.large_binary()).to_pylist())
+            words, piece = _words(objects(pc.cast(texts, pa.large_binary())))
             if not len(words):
                 continue
             coded = words.dictionary_encode()
@@ -86,7 +86,7 @@ def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codes[np.arange(len(numbers)) + piece] = numbers + 1
             yield pa.RecordBatch.from_arrays([
                 pa.array([lang]), pa.array([pa.compress(codes.astype("<u4").tobytes(), "zstd", asbytes=True)], pa.binary()),
-                pa.array([len(codes)], pa.int64()), pa.array([coded.dictionary.to_pylist()], pa.list_(pa.string())),
+                pa.array([len(codes)], pa.int64()), pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary.cast(pa.string())),
                 pa.array([np.bincount(numbers)], pa.list_(pa.int64()))], names=["lang", "codes", "size", "words", "counts"])
 
 
@@ -205,8 +205,9 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, most: i
     frequent = saved(frequent.withColumn("id", F.col("position") + 1).join(totals, "lang").select("id", "lang", "word", "a", "n"))
     width = 4 if frequent.count() < 1 << 32 else 8
 
-    known = words.join(frequent.select("lang", "word", "id"), ["lang", "word"]).groupBy("slice").agg(
-        F.collect_list(F.struct("code", "id")).alias("known"))
+    # Every word of a slice stays in the join, so that its rows go with the input and not with the words that count enough.
+    known = words.join(frequent.select("lang", "word", "id"), ["lang", "word"], "left").groupBy("slice").agg(
+        F.collect_list(F.when(F.col("id").isNotNull(), F.struct("code", "id"))).alias("known"))
     windows = sliced.select("slice", "codes", "size").join(known, "slice").select("codes", "size", "known").mapInArrow(
         _windows(longest, width), "key binary, n long").withColumn("slice", F.spark_partition_id())
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickflow.llm.arrow_text import gather, slices, words_of
+from tickflow.llm.arrow_text import gather, objects, slices, words_of
 from tickflow.llm.helpers import saved
 from tickflow.llm.word_tokens import public_tokenizer, word_tokens
 from tickflow.session import scratch_dir
@@ -45,7 +45,7 @@ from tickflow.session import scratch_dir
 END_TOKEN = 2
 MAX_BITS = 18
 EVERY = 256
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
 _JOINT_BITS = 57  # with 7 bits of shift they fit into 64
 _PART_BITS = 33  # of monotonically_increasing_id
 _DRAFT = pa.schema([
@@ -169,7 +169,7 @@ def _drafts(path: str, end_token: int, block_bytes: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, block_bytes):
             doc_words, codes, distinct = words_of(batch.column("text"))
-            firsts, lengths, tokens = word_tokens(path).look_up(distinct.to_pylist())
+            firsts, lengths, tokens = word_tokens(path).look_up(objects(distinct))
             # The end token is the last run.
             runs = np.append(tokens[gather(firsts, lengths)], end_token).astype("<u4")
             lengths = np.append(lengths, 1)

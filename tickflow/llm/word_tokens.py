@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-from tickflow.llm.arrow_text import gather
+from tickflow.llm.arrow_text import gather, objects
 
 # Printable characters up to Latin Extended-B: NFC leaves them alone, and none is white space.
 _PLAIN = regex.compile("[\x21-\x7e\xa1-ɏ]+")
@@ -114,7 +114,7 @@ class WordTokens:
         # Lower case character by character: a final sigma is no exception there.
         parts = pa.array(self.cut.findall("\n".join(words).replace("Σ", "σ").lower() + "\n"), pa.large_string())
         coded = parts.dictionary_encode()
-        codes, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        codes, distinct = coded.indices.to_numpy().astype(np.int64), objects(coded.dictionary)
         end = distinct.index("\n")
         distinct[end] = ""
         firsts, lengths, tokens = self.parts.look_up(distinct, self._merged)
