@@ -12,7 +12,7 @@ from tickflow.session import stream_settings
 from tickflow.sinks.write import route_by, route_stream, route_stream_each, run_to_end, to_wire, write_batch, write_stream
 from tickflow.sources.ticks import read_records, ticks_as_records
 from tickflow.streaming.ladder import (
-    SLOTS_SCHEMA, slot_moments_stream, streaming_nested_stats, streaming_window_stats, window_stats_from_slots,
+    SLOTS_SCHEMA, slot_moments_stream, streaming_nested_stats, window_stats_from_slots,
 )
 from tickflow.streaming.replay import FLUSH_SYMBOL, flush_tick, replay_ticks
 from tickflow.streaming.shifts import streaming_price_shifts
@@ -82,8 +82,7 @@ def test_nested_stats_and_scores_through_the_wire(spark, ticks_of, tmp_path):
     stats_out, scores_out = str(tmp_path / "stats"), str(tmp_path / "scores")
 
     def start_stats(records, checkpoint):
-        stats = streaming_window_stats(parse_ticks(records), LADDER)
-        return write_stream(to_wire(streaming_nested_stats(stats, LADDER)), checkpoint, "text", stats_out, available_now=True)
+        return write_stream(to_wire(streaming_nested_stats(parse_ticks(records), LADDER)), checkpoint, "text", stats_out, available_now=True)
 
     replay_ticks(spark, ticks, start_stats, steps=2, flush_twice=True, partitions=2)
     stats = unnest_stats(from_wire(read_records(spark, "text", stats_out), WINDOW_STATS_WIRE))
@@ -114,7 +113,7 @@ def test_stats_from_slots(spark, ticks_of, tmp_path):
     with stream_settings(spark, partitions=2):
         slots = spark.readStream.schema(SLOTS_SCHEMA).parquet(landed)
         run_to_end(write_stream(
-            window_stats_from_slots(slots, LADDER).drop("span"), str(tmp_path / "c"), "parquet", out, available_now=True))
+            window_stats_from_slots(slots, LADDER), str(tmp_path / "c"), "parquet", out, available_now=True))
     assert rows_of(spark.read.parquet(out), *STATS) == rows_of(window_stats(ticks, LADDER), *STATS)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,9 +54,16 @@ def validate_ticks(records: DataFrame, value: str = "value") -> DataFrame:
 
     A good record is a JSON object that has a symbol (of any type) and a price
     that reads as a number. NaN and infinity pass, marked by `non_finite`.
+
+    Each record is parsed once, as the first element of an array whose second
+    and last is a random word drawn here. The parser stops after the first value
+    of a text, so a record with more text behind it would pass on its own; in
+    the array, whatever it goes on with stands where the word should be, and no
+    record can know the word.
     """
     require_duplicate_keys(records.sparkSession)
-    verdict = _once(F.col(value).cast("string"), _verdict)
+    word = secrets.token_hex(16)
+    verdict = _once(F.col(value).cast("string"), lambda text: _verdict(text, word))
     judged = records.withColumn("_verdict", verdict)
     return judged.withColumns({
         "reject_reason": F.col("_verdict.reason"), "non_finite": F.col("_verdict.non_finite")}).drop("_verdict")
@@ -66,41 +74,30 @@ def _once(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), lambda v: body(v))[0]
 
 
-def _verdict(text: Column) -> Column:
-    def in_array(end: str) -> Column:
-        return F.try_parse_json(F.concat(F.lit("["), text, F.lit(end)))
-
-    def element(array: Column, i: int) -> Column:
-        return F.try_variant_get(array, f"$[{i}]", "variant")
-
+def _verdict(text: Column, word: str) -> Column:
     hollow = text.isNull() | text.rlike(_HOLLOW)
 
-    def judge(json: Column) -> Column:
+    def judge(array: Column) -> Column:
         def has(field: str) -> Column:
             # A field that holds JSON null is there.
-            return F.try_variant_get(json, f"$.{field}", "variant").isNotNull()
+            return F.try_variant_get(array, f"$[0].{field}", "variant").isNotNull()
 
         def by_price(price: Column) -> Column:
             is_object = text.rlike(r"^\s*\{")
+            alone = F.coalesce(F.try_variant_get(array, "$[1]", "string") == word, F.lit(False))
             reason = (
-                F.when(hollow, EMPTY)
-                .when(json.isNull(), NOT_JSON)
+                F.when(price.isNotNull() & alone & has("symbol"), F.lit(None))
+                .when(hollow, EMPTY)
+                .when(~alone, NOT_JSON)
                 .when(~(has("symbol") & has("price")), F.when(is_object, MISSING_FIELD).otherwise(NOT_OBJECT))
-                .when(price.isNull(), BAD_PRICE)
+                .otherwise(BAD_PRICE)
             )
             odd = F.isnan(price) | (F.abs(price) == F.lit(float("inf")))
             return _once(reason, lambda r: F.struct(
                 r.alias("reason"), F.coalesce(r.isNull() & odd, F.lit(False)).alias("non_finite")))
-        return _once(F.try_variant_get(json, "$.price", "string"), lambda shown: _once(price_of(shown), by_price))
-
-    # The parser stops after the first value of a text. A text that closes the
-    # array it is put in, to go on behind it, shows the same elements whether
-    # another one follows or not; one whole value shows one, then two.
-    def whole(array: Column) -> Column:
-        alone = element(array, 0).isNotNull() & element(array, 1).isNull()
-        return _once(F.when(alone, in_array(",0]")), lambda longer: _once(
-            F.when(element(longer, 1).isNotNull(), element(array, 0)), judge))
-    return _once(F.when(~hollow, in_array("]")), whole)
+        return _once(price_of(F.try_variant_get(array, "$[0].price", "string")), by_price)
+
+    return _once(F.when(~hollow, F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{word}"]')))), judge)
 
 
 def good(validated: DataFrame) -> DataFrame:

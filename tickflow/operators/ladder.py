@@ -18,8 +18,7 @@ def window_stats(ticks: DataFrame, ladder: Ladder = LADDER, lateness: int = LATE
     """
     if ticks.isStreaming:
         from tickflow.streaming.ladder import streaming_window_stats
-        return streaming_window_stats(ticks, ladder, lateness).select(
-            "timestamp", "symbol", "window", "avg_price", "std_price")
+        return streaming_window_stats(ticks, ladder, lateness)
     as_type = time_type(ticks, "timestamp")
     return _stats_by_block(ticks, ladder).select(
         from_micros(F.col("at"), as_type).alias("timestamp"),
@@ -27,8 +26,11 @@ def window_stats(ticks: DataFrame, ladder: Ladder = LADDER, lateness: int = LATE
     )
 
 
-def nested_window_stats(ticks: DataFrame, ladder: Ladder = LADDER) -> DataFrame:
+def nested_window_stats(ticks: DataFrame, ladder: Ladder = LADDER, lateness: int = LATENESS) -> DataFrame:
     """`nest_stats(window_stats(ticks))` without a further shuffle."""
+    if ticks.isStreaming:
+        from tickflow.streaming.ladder import streaming_nested_stats
+        return streaming_nested_stats(ticks, ladder, lateness)
     as_type = time_type(ticks, "timestamp")
     packed = nest(_stats_by_block(ticks, ladder), "stats", ["window", "avg_price", "std_price"], ladder,
                   keys=("symbol", "block", "at"))

@@ -22,10 +22,11 @@ from tickflow.operators.zscore import unnest_scores
 from tickflow.schemas import (
     LADDER, LATENESS, PRICE_GRAIN, SHIFT_HORIZON, TICK_WIRE, WINDOW_STATS_WIRE, ZSCORES_WIRE, Ladder,
 )
-from tickflow.sinks.write import route_stream, route_stream_each, to_wire, write_batch, write_stream
-from tickflow.sources.ticks import read_records
+from tickflow.sinks.handover import Step, hand_over_stream
+from tickflow.sinks.write import route_stream, to_wire, write_batch, write_stream
+from tickflow.sources.ticks import Start, read_records
 from tickflow.streaming.ladder import (
-    SLOTS_SCHEMA, slot_moments_stream, streaming_nested_stats, streaming_window_stats, window_stats_from_slots,
+    SLOTS_SCHEMA, nested_stats_from_slots, slot_moments_stream, streaming_nested_stats,
 )
 from tickflow.streaming.shifts import streaming_price_shifts
 from tickflow.streaming.zscore import streaming_nested_scores
@@ -33,42 +34,29 @@ from tickflow.streaming.zscore import streaming_nested_scores
 
 @dataclass(frozen=True)
 class End:
-    """A format, and where and how to reach it."""
+    """A format, and where and how to reach it; `start_at` is where a stream of it begins when first started."""
 
     fmt: str = "text"
     path: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    start_at: Start | None = None
 
-    def stream(self, spark: SparkSession) -> DataFrame:
-        return read_records(spark, self.fmt, self.path, stream=True, options=dict(self.options))
+    def stream(self, spark: SparkSession, checkpoint: str | None = None) -> DataFrame:
+        return read_records(spark, self.fmt, self.path, stream=True, options=dict(self.options),
+                            start=self.start_at, checkpoint=checkpoint)
 
     def start(self, df: DataFrame, checkpoint: str, available_now: bool, interval: str | None = None) -> StreamingQuery:
         return write_stream(
             df, checkpoint, self.fmt, self.path, dict(self.options), available_now, interval=interval)
 
     def write(self, df: DataFrame, part: str | None = None) -> None:
-        """A micro-batch to a folder has a sub-folder of its own and is written there once.
-
-        If a failure elsewhere makes Spark replay it, what was finished stays as
-        it is: the same files, which a stream that reads the folder has seen.
-        """
+        """`part` is a sub-folder of the path; what it holds is replaced."""
         if self.path is None or part is None:
             write_batch(df, self.fmt, self.path, options=dict(self.options))
-        elif not _exists(df.sparkSession, f"{self.path}/{part}/_SUCCESS"):
+        else:
             write_batch(df, self.fmt, f"{self.path}/{part}", "overwrite", dict(self.options))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-
-
-def _part(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
-    """Sub-folder of a micro-batch; the query's id, kept in its checkpoint, tells it from those of an earlier query."""
-    query = spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
-    return f"query={query}/batch={batch_id}"
-
-
 def stamped_records(raw: DataFrame) -> DataFrame:
     """Good raw records as ticks on the wire, with event time set to now."""
     ticks = from_wire(good(raw), TICK_WIRE).select("symbol", "price")
@@ -77,19 +65,19 @@ def stamped_records(raw: DataFrame) -> DataFrame:
 
 def start_ingest(
     spark: SparkSession, raw: End, ticks: End, rejected: End, checkpoint: str, available_now: bool = False, interval: str | None = None,
+    at_step: Step | None = None,
 ) -> StreamingQuery:
-    """Validate raw price records, stamp and publish the good ones, keep the rejected ones."""
-    judged = validate_ticks(raw.stream(spark)).withColumn(
-        "verdict", F.when(F.col("reject_reason").isNull(), "good").otherwise("rejected"))
-
-    def write_route(rows: DataFrame, route: str, batch_id: int) -> None:
-        part = _part(spark, checkpoint, batch_id)
-        if route == "good":
-            ticks.write(stamped_records(rows), part)
-        else:
-            rejected.write(to_wire(quarantine(rows).select("reject_reason", "value")), part)
+    """Validate raw price records, stamp and publish the good ones, keep the rejected ones.
 
-    return route_stream_each(judged, "verdict", ["good", "rejected"], write_route, checkpoint, available_now, interval)
+    Both outputs of a micro-batch are handed over as one; `handed_over` tells what was published.
+    """
+    judged = validate_ticks(raw.stream(spark, checkpoint)).withColumn(
+        "verdict", F.when(F.col("reject_reason").isNull(), "good").otherwise("rejected"))
+    outputs = {
+        "good": (ticks, stamped_records),
+        "rejected": (rejected, lambda rows: to_wire(quarantine(rows).select("reject_reason", "value"))),
+    }
+    return hand_over_stream(judged, "verdict", outputs, checkpoint, available_now, interval, at_step)
 
 
 def start_window_stats(
@@ -97,16 +85,16 @@ def start_window_stats(
     lateness: int = LATENESS, available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
     """Ticks to nested window statistics."""
-    per_window = streaming_window_stats(parse_ticks(ticks.stream(spark)), ladder, lateness)
-    return stats.start(to_wire(streaming_nested_stats(per_window, ladder)), checkpoint, available_now, interval)
+    nested = streaming_nested_stats(parse_ticks(ticks.stream(spark, checkpoint)), ladder, lateness)
+    return stats.start(to_wire(nested), checkpoint, available_now, interval)
 
 
 def start_slot_moments(
     spark: SparkSession, ticks: End, slots_path: str, checkpoint: str, ladder: Ladder = LADDER,
     lateness: int = LATENESS, available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
-    """First half of the window statistics in two jobs, which reads the ticks once."""
-    moments = slot_moments_stream(parse_ticks(ticks.stream(spark)), ladder, lateness)
+    """First half of the window statistics in two jobs, where slots are to be kept."""
+    moments = slot_moments_stream(parse_ticks(ticks.stream(spark, checkpoint)), ladder, lateness)
     return write_stream(moments, checkpoint, "parquet", slots_path, available_now=available_now, interval=interval)
 
 
@@ -116,8 +104,7 @@ def start_window_stats_from_slots(
 ) -> StreamingQuery:
     """Second half: slots to nested window statistics."""
     slots = spark.readStream.schema(SLOTS_SCHEMA).parquet(slots_path)
-    nested = streaming_nested_stats(window_stats_from_slots(slots, ladder), ladder)
-    return stats.start(to_wire(nested), checkpoint, available_now, interval)
+    return stats.start(to_wire(nested_stats_from_slots(slots, ladder)), checkpoint, available_now, interval)
 
 
 def start_zscores(
@@ -125,8 +112,8 @@ def start_zscores(
     grain: int = PRICE_GRAIN, lateness: int = LATENESS, available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
     """Ticks and window statistics to nested z-scores."""
-    per_window = unnest_stats(from_wire(stats.stream(spark), WINDOW_STATS_WIRE))
-    nested = streaming_nested_scores(parse_ticks(ticks.stream(spark)), per_window, ladder, grain, lateness)
+    per_window = unnest_stats(from_wire(stats.stream(spark, f"{checkpoint}/second"), WINDOW_STATS_WIRE))
+    nested = streaming_nested_scores(parse_ticks(ticks.stream(spark, checkpoint)), per_window, ladder, grain, lateness)
     return scores.start(to_wire(nested), checkpoint, available_now, interval)
 
 
@@ -134,7 +121,7 @@ def start_load(
     spark: SparkSession, scores: End, path: str, checkpoint: str, fmt: str = "parquet", available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
     """Z-scores to one folder per window."""
-    documents = unnest_scores(from_wire(scores.stream(spark), ZSCORES_WIRE))
+    documents = unnest_scores(from_wire(scores.stream(spark, checkpoint), ZSCORES_WIRE))
     return route_stream(documents, "window", path, checkpoint, fmt, available_now, interval)
 
 
@@ -146,13 +133,10 @@ def start_load_each(
     Documents get an `_id` of symbol and time, so that a store which keeps one
     document per id is the same after a replay.
     """
-    documents = unnest_scores(from_wire(scores.stream(spark), ZSCORES_WIRE)).withColumn(
+    documents = unnest_scores(from_wire(scores.stream(spark, checkpoint), ZSCORES_WIRE)).withColumn(
         "_id", F.concat_ws("@", "symbol", F.unix_micros("timestamp").cast("string")))
-
-    def write_route(rows: DataFrame, window: str, batch_id: int) -> None:
-        destinations[window].write(rows, _part(spark, checkpoint, batch_id))
-
-    return route_stream_each(documents, "window", list(destinations), write_route, checkpoint, available_now, interval)
+    outputs = {window: (end, lambda rows: rows) for window, end in destinations.items()}
+    return hand_over_stream(documents, "window", outputs, checkpoint, available_now, interval)
 
 
 def start_price_shifts(
@@ -160,9 +144,6 @@ def start_price_shifts(
     lateness: int = LATENESS, emit: str = "final", available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
     """Ticks to the first higher and the first lower price, one query for both outputs."""
-    events = streaming_price_shifts(parse_ticks(ticks.stream(spark)), horizon, lateness, emit=emit)
-
-    def write_route(rows: DataFrame, kind: str, batch_id: int) -> None:
-        {HIGHER: higher, LOWER: lower}[kind].write(rows.select("value"), _part(spark, checkpoint, batch_id))
-
-    return route_stream_each(shift_messages(events), "kind", [HIGHER, LOWER], write_route, checkpoint, available_now, interval)
+    events = streaming_price_shifts(parse_ticks(ticks.stream(spark, checkpoint)), horizon, lateness, emit=emit)
+    outputs = {kind: (end, lambda rows: rows.select("value")) for kind, end in ((HIGHER, higher), (LOWER, lower))}
+    return hand_over_stream(shift_messages(events), "kind", outputs, checkpoint, available_now, interval)

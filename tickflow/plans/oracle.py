@@ -5,6 +5,7 @@ from __future__ import annotations
 from tickflow.schemas import LADDER, LADDER_SCALED, Ladder
 
 HOUR = 3600
+DAY = 86400
 LONG_HORIZON = 7200
 
 
@@ -98,6 +99,28 @@ union all
 select symbol, ts, 'lower', lower_window, lower_found from shifts"""
 
 
+# Late ticks: the watermark is 10 s (in whole milliseconds) behind the last tick in time; a slot is a quarter of the
+# horizon and waits until the watermark has passed its end by the horizon.
+_LATE_SHIFTS = f"""with ticks as (
+  select event_type as symbol, value as price, ts, epoch_us(ts) as us, event_id % 7 = 3 as late from events where value is not null),
+mark as (select max(us) // 1000 * 1000 - 10000000 as us from ticks where not late),
+placed as (
+  select t.*, t.us // {(DAY + 4) // 4 * 1_000_000} * {(DAY + 4) // 4 * 1_000_000} + {((DAY + 4) // 4 + DAY + 1) * 1_000_000} <= mark.us as over
+  from ticks t, mark),
+gaps as (
+  select a.symbol, a.ts, a.us, a.price, a.late, a.over,
+         min(case when b.price > a.price then b.us - a.us end) as hi,
+         min(case when b.price < a.price then b.us - a.us end) as lo
+  from placed a left join placed b
+    on a.symbol = b.symbol and b.us > a.us and b.us - a.us < {(DAY + 1) * 1_000_000} and not (a.over and b.late)
+  where not (a.late and a.over) group by all)
+select symbol, ts as "timestamp", 'late' as kind, null::double as window_seconds, null::boolean as "found" from placed where late and over
+union all
+select symbol, ts, 'higher', coalesce((hi // 1000) / 1000.0, {DAY}.0)::double, hi is not null from gaps
+union all
+select symbol, ts, 'lower', coalesce((lo // 1000) / 1000.0, {DAY}.0)::double, lo is not null from gaps"""
+
+
 def _message(kind: str) -> str:
     instant = """strftime(ts, '%Y-%m-%dT%H:%M:%S') || case
       when epoch_us(ts) % 1000000 = 0 then ''
@@ -176,6 +199,8 @@ union all select 'missing_field', count(*) from events
 union all select 'bad_price', count(*) from orders""",
     "stream_ingest_ticks": f"""select event_type as symbol, {_rounded('value')} as price, count(*) as records
 from events group by all""",
+    "stream_replay": """select 'good' as output, count(*) as records, count(*) as committed from events
+union all select 'rejected', n, n from (select (select count(*) from events) + (select count(*) from orders) as n)""",
     "stream_hour_price": _second_price(HOUR),
     "stream_late_ticks": _second_price(HOUR),
     "stream_window_stats": _window_stats(LADDER_SCALED),
@@ -184,5 +209,6 @@ from events group by all""",
     "stream_zscore_chained": _DOCUMENTS,
     "stream_price_shift": _SHIFT_EVENTS,
     "stream_price_shift_eager": _SHIFT_EVENTS,
+    "stream_price_shift_late": _LATE_SHIFTS,
     "stream_route": _DOCUMENTS,
 }

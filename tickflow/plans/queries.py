@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,16 +20,18 @@ from tickflow.operators.zscore import nested_zscores, score, unnest_scores, zsco
 from tickflow.plans.jobs import End, start_ingest
 from tickflow.schemas import LADDER, LADDER_SCALED, WINDOW_STATS_WIRE, ZSCORES_WIRE, Ladder
 from tickflow.session import scratch_dir, stream_settings, tune
+from tickflow.sinks.handover import handed_over, ledger_of
 from tickflow.sinks.write import read_routes, route_by, route_stream, run_to_end, to_wire, write_batch, write_stream
 from tickflow.sources.ticks import events_as_ticks, read_records, ticks_as_records
 from tickflow.streaming.ladder import (
-    SLOTS_SCHEMA, slot_moments_stream, streaming_nested_stats, streaming_window_stats, window_stats_from_slots,
+    SLOTS_SCHEMA, slot_moments_stream, streaming_nested_stats, window_stats_from_slots,
 )
 from tickflow.streaming.replay import FLUSH_SYMBOL, flush_tick, replay_ticks
 from tickflow.streaming.shifts import streaming_price_shifts
 from tickflow.streaming.zscore import streaming_nested_scores
 
 HOUR = 3600
+DAY = 86400
 LONG_HORIZON = 7200
 _STATE = 2  # state partitions of the replayed streams, which are small
 
@@ -75,16 +78,16 @@ def tick_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.to_json(F.struct(F.col(symbol).alias("symbol"), F.col(price).alias("price")))
 
     texts = {
-        "events": F.col("props"), "documents": F.col("text"), "conversations": F.col("text"),
+        "documents": F.col("text"), "conversations": F.col("text"),
         "pages": F.col("html"), "benchmark": F.col("text"), "embeddings": F.to_json("embedding"),
         "orders": symbol_and_price("o_orderstatus", "o_orderpriority"),
         "lineitem": symbol_and_price("l_partkey", "l_extendedprice"),
     }
-    ticks = ticks_as_records(_ticks(spark, sf_dir))
-    # Good records that close an array they are put in, and go on behind it.
-    closing = [ticks.select(F.concat("value", F.lit(end)).alias("value"), F.lit(f"ticks{end}").alias("origin")) for end in ("]x", ",0]", "],[0")]
-    inputs = [ticks.withColumn("origin", F.lit("ticks")), *closing]
-    inputs += [
+    # Good records, the same with text that closes an array they are put in and goes on behind it, and other texts of events.
+    props = F.struct(F.col("props").alias("value"), F.lit("events").alias("origin"))
+    ticks = [F.struct(F.concat("value", F.lit(end)).alias("value"), F.lit(f"ticks{end}").alias("origin")) for end in ("", "]x", ",0]", "],[0")]
+    events = ticks_as_records(_ticks(spark, sf_dir, "props"), "props").select(F.explode(F.array(props, *ticks)).alias("text")).select("text.*")
+    inputs = [events] + [
         spark.read.parquet(f"{sf_dir}/{table}.parquet").select(text.alias("value"), F.lit(table).alias("origin"))
         for table, text in texts.items()
     ]
@@ -214,14 +217,18 @@ def price_shift_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streams, played to their end ----------------------------------------------
 
-def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw records validated, stamped and published, the rejected ones kept: records per outcome."""
-    ticks = _ticks(spark, sf_dir)
-    raw, published, rejected = (scratch_dir(spark, n) for n in ("raw", "published", "rejected"))
+def _raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks on the wire, and texts of events and orders that are none."""
     props = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("props").alias("value"))
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.to_json(F.struct(
         F.col("o_orderstatus").alias("symbol"), F.col("o_orderpriority").alias("price"))).alias("value"))
-    write_batch(ticks_as_records(ticks).unionByName(props).unionByName(orders), "text", raw)
+    return ticks_as_records(_ticks(spark, sf_dir)).unionByName(props).unionByName(orders)
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records validated, stamped and published, the rejected ones kept: records per outcome."""
+    raw, published, rejected = (scratch_dir(spark, n) for n in ("raw", "published", "rejected"))
+    write_batch(_raw_records(spark, sf_dir), "text", raw)
     run_to_end(start_ingest(
         spark, End("text", raw), End("text", published), End("text", rejected), scratch_dir(spark, "checkpoint"),
         available_now=True))
@@ -242,6 +249,31 @@ def stream_ingest_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks.groupBy("symbol", rounded(F.col("price")).alias("price")).agg(F.count(F.lit(1)).alias("records"))
 
 
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest that is stopped at every step of a hand-over and started again: rows seen and rows committed per output."""
+    raw, published, rejected, checkpoint = (scratch_dir(spark, n) for n in ("raw", "published", "rejected", "checkpoint"))
+    records = _raw_records(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(5)))
+    steps = [None, "good aside", "rejected aside", "committed", "good seen"]
+
+    def ingest_until(step: str | None) -> None:
+        def stop(done: str) -> None:
+            if done == step:
+                raise RuntimeError(f"stopped after: {step}")
+        run_to_end(start_ingest(
+            spark, End("text", raw), End("text", published), End("text", rejected), checkpoint, available_now=True, at_step=stop))
+
+    for part, step in enumerate(steps):
+        write_batch(records.filter(F.col("part") == part).select("value"), "text", raw)
+        try:
+            ingest_until(step)
+        except StreamingQueryException:
+            ingest_until(None)
+    seen = read_records(spark, "text", published).select(F.lit("good").alias("output")).unionByName(
+        read_records(spark, "text", rejected).select(F.lit("rejected").alias("output")))
+    committed = handed_over(spark, ledger_of(checkpoint)).groupBy("output").agg(F.sum("rows").alias("committed"))
+    return seen.groupBy("output").agg(F.count(F.lit(1)).alias("records")).join(committed, "output", "full")
+
+
 def stream_late_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tick comes once more, with another price, after the watermark has passed it."""
     landing, checkpoint, out = (scratch_dir(spark, n) for n in ("landing", "checkpoint", "prices"))
@@ -266,12 +298,11 @@ def stream_hour_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks to nested statistics on the wire: aggregate, union, aggregate."""
+    """Ticks to nested statistics on the wire, in one read and one stateful step."""
     out = scratch_dir(spark, "stats")
 
     def start(records: DataFrame, checkpoint: str):
-        stats = streaming_window_stats(ingest.parse_ticks(records), LADDER_SCALED)
-        wire = to_wire(streaming_nested_stats(stats, LADDER_SCALED))
+        wire = to_wire(streaming_nested_stats(ingest.parse_ticks(records), LADDER_SCALED))
         return write_stream(wire, checkpoint, "text", out, available_now=True)
 
     replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2, partitions=_STATE)
@@ -290,7 +321,7 @@ def stream_window_stats_from_slots(spark: SparkSession, sf_dir: str) -> DataFram
     replay_ticks(spark, _ticks(spark, sf_dir), start, steps=2, flush_twice=True, partitions=_STATE)
     with stream_settings(spark, partitions=_STATE):
         slots = spark.readStream.schema(SLOTS_SCHEMA).parquet(landed)
-        stats = window_stats_from_slots(slots, LADDER_SCALED).drop("span")
+        stats = window_stats_from_slots(slots, LADDER_SCALED)
         run_to_end(write_stream(stats, checkpoint, "parquet", out, available_now=True))
     return _tidy(_no_flush(spark.read.parquet(out)), "avg_price", "std_price")
 
@@ -321,7 +352,7 @@ def stream_zscore_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def start(records: DataFrame, checkpoint: str):
         parsed = ingest.parse_ticks(records)
-        per_window = to_wire(streaming_nested_stats(streaming_window_stats(parsed, LADDER_SCALED), LADDER_SCALED))
+        per_window = to_wire(streaming_nested_stats(parsed, LADDER_SCALED))
         run_to_end(write_stream(per_window, f"{checkpoint}-stats", "text", stats_in, available_now=True))
         stats = unnest_stats(ingest.from_wire(read_records(spark, "text", stats_in, stream=True), WINDOW_STATS_WIRE))
         nested = streaming_nested_scores(parsed, stats, LADDER_SCALED, HOUR)
@@ -345,6 +376,20 @@ def _stream_price_shift(emit: str) -> Query:
     return query
 
 
+def stream_price_shift_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh tick comes when all others have been seen: kept where its slot still waits, else counted as late."""
+    landing, checkpoint, out = (scratch_dir(spark, n) for n in ("landing", "checkpoint", "shifts"))
+    ticks = _ticks(spark, sf_dir, "event_id")
+    behind = F.col("event_id") % 7 == 3
+    for part in (ticks.filter(~behind), ticks.filter(behind), flush_tick(ticks)):
+        ticks_as_records(part).write.mode("append").text(landing)
+        with stream_settings(spark, partitions=4 * _STATE):
+            shifts = streaming_price_shifts(
+                ingest.parse_ticks(read_records(spark, "text", landing, stream=True)), DAY, late="keep")
+            run_to_end(write_stream(shifts, checkpoint, "parquet", out, available_now=True))
+    return _tidy(_no_flush(spark.read.parquet(out)).drop("price"))
+
+
 def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One streaming query that writes every window's documents to its own folder."""
     ticks = _ticks(spark, sf_dir)
@@ -386,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "stream_ingest_ticks": stream_ingest_ticks,
     "stream_hour_price": stream_hour_price,
+    "stream_replay": stream_replay,
     "stream_late_ticks": stream_late_ticks,
     "stream_window_stats": stream_window_stats,
     "stream_window_stats_from_slots": stream_window_stats_from_slots,
@@ -393,5 +439,6 @@ QUERIES: dict[str, Query] = {
     "stream_zscore_chained": stream_zscore_chained,
     "stream_price_shift": _stream_price_shift("final"),
     "stream_price_shift_eager": _stream_price_shift("eager"),
+    "stream_price_shift_late": stream_price_shift_late,
     "stream_route": stream_route,
 }

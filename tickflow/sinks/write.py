@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,14 +99,27 @@ def route_stream_each(
     The micro-batch is computed once, kept, and handed to `write_route(rows,
     route, batch_id)` per route; the batch id lets the writer recognise a replay.
     """
+    def write(batch: DataFrame, counts: Mapping[str, int], batch_id: int) -> None:
+        for route in routes:
+            write_route(batch.filter(F.col(column) == route), route, batch_id)
+    return each_batch(df, column, routes, write, checkpoint, available_now, interval)
+
+
+def each_batch(
+    df: DataFrame, column: str, routes: list[str], write_all: Callable[[DataFrame, Mapping[str, int], int], None],
+    checkpoint: str, available_now: bool = False, interval: str | None = None,
+) -> StreamingQuery:
+    """Micro-batches, computed once and kept, with the number of rows of each route; a row of no route is an error."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            lost = batch.filter(~F.coalesce(F.col(column).isin(routes), F.lit(False))).select(column).first()
-            if lost:
-                raise ValueError(f"no destination for {column} = {lost[0]!r}")
-            for route in routes:
-                write_route(batch.filter(F.col(column) == route), route, batch_id)
+            known = F.coalesce(F.col(column).isin(routes), F.lit(False))
+            found = batch.agg(
+                F.sum((~known).cast("long")).alias("lost"), F.first(F.when(~known, F.struct(column)), ignorenulls=True).alias("one"),
+                *(F.count_if(F.col(column) == route).alias(f"_{i}") for i, route in enumerate(routes))).first()
+            if found["lost"]:
+                raise ValueError(f"no destination for {column} = {found['one'][0]!r}")
+            write_all(batch, {route: found[f"_{i}"] for i, route in enumerate(routes)}, batch_id)
         finally:
             batch.unpersist()
 
@@ -117,6 +132,29 @@ def run_to_end(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
-def await_any(spark: SparkSession) -> None:
-    """Block until one of the running queries ends or fails."""
-    spark.streams.awaitAnyTermination()
+class Ended(NamedTuple):
+    """A query that is over, with what made it fail (or None)."""
+
+    name: str | None
+    id: str
+    error: str | None
+
+
+def await_any(
+    spark: SparkSession, queries: Sequence[StreamingQuery] | None = None, stop_others: bool = True, every: float = 0.5,
+) -> list[Ended]:
+    """Block until one of the queries (all running ones, if not given) ends or fails; say which, and stop the others.
+
+    Several may be over at once. Without `stop_others` the rest goes on.
+    """
+    watched = list(spark.streams.active if queries is None else queries)
+    if not watched:
+        raise ValueError("no query is running")
+    while all(query.isActive for query in watched):
+        time.sleep(every)
+    over = [query for query in watched if not query.isActive]
+    failures = [query.exception() for query in over]
+    if stop_others:
+        for query in watched:
+            query.stop()
+    return [Ended(query.name, query.id, failure and str(failure)) for query, failure in zip(over, failures)]

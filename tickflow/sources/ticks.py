@@ -2,36 +2,78 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickflow.files import Files
 from tickflow.functions.timeline import require_utc
+from tickflow.schemas import MICROS
 
 # Fixed value: event time of a tick on the wire.
 WIRE_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
-# A log source skips history on first start; a checkpoint resumes after it.
-_DEFAULTS = {"kafka": {"startingOffsets": "latest"}}
+LATEST = "latest"
+EARLIEST = "earliest"
+Start = str | datetime  # LATEST, EARLIEST or an instant
 
 
 def read_records(
     spark: SparkSession, fmt: str = "text", path: str | None = None, stream: bool = False,
-    options: dict[str, str] | None = None, schema=None,
+    options: dict[str, str] | None = None, schema=None, start: Start | None = None, checkpoint: str | None = None,
 ) -> DataFrame:
     """Raw records with a string column `value`, from a batch or a stream.
 
     `fmt` and `options` go to Spark as they are (text, json-lines files as
     text, parquet with a `value` column, a message log whose jar is supplied).
     Only `value` is read, so keys and offsets are pruned at the source.
+
+    `start` says where a stream begins when it is first started: with what is
+    there (the default for folders), after it (the default for message logs),
+    or at an instant. A log source keeps its place in the checkpoint itself; for
+    a folder the instant is kept there, so `checkpoint` has to be given.
     """
-    merged = {**(_DEFAULTS.get(fmt, {}) if stream else {}), **(options or {})}
+    merged = {**(_log_start(fmt, start) if stream else {}), **(options or {})}
     reader = (spark.readStream if stream else spark.read).format(fmt).options(**merged)
     if schema is not None:
         reader = reader.schema(schema)
     loaded = reader.load(path) if path is not None else reader.load()
+    if stream and path is not None and start not in (None, EARLIEST):
+        after = _first_start(spark, path, start, checkpoint)
+        # Known before a file is opened: files of history are listed and not read.
+        loaded = loaded.filter(F.unix_micros("_metadata.file_modification_time") > after)
     return loaded.select(F.col("value").cast("string").alias("value"))
 
 
+def _log_start(fmt: str, start: Start | None) -> dict[str, str]:
+    if fmt != "kafka":
+        return {}
+    if isinstance(start, datetime):
+        return {"startingTimestamp": str(int(start.timestamp() * 1000))}
+    return {"startingOffsets": start or LATEST}
+
+
+def _first_start(spark: SparkSession, path: str, start: Start, checkpoint: str | None) -> int:
+    """Files modified after this instant (microseconds) count; decided when the stream is first started.
+
+    `LATEST` is the time of the newest file that is there, by the store's own clock.
+    """
+    if checkpoint is None:
+        raise ValueError("a folder's start position is kept in the checkpoint: name it")
+    files, kept = Files(spark), f"{checkpoint}/start-position"
+    if not files.exists(kept):
+        if isinstance(start, datetime):
+            after = int(start.timestamp() * MICROS) - 1
+        elif start == LATEST:
+            there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            after = there.agg(F.max(F.unix_micros("modificationTime"))).first()[0] or 0
+        else:
+            raise ValueError(f"unknown start {start!r}")
+        files.write_whole(kept, str(after))
+    return int(spark.read.text(kept).first()[0])
+
+
 def events_as_ticks(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """The `events` table as ticks, with `extra` columns kept (such as event_id)."""
     require_utc(spark)
@@ -45,9 +87,10 @@ def events_as_ticks(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     )
 
 
-def ticks_as_records(ticks: DataFrame) -> DataFrame:
+def ticks_as_records(ticks: DataFrame, *extra: str) -> DataFrame:
     """Ticks as they arrive on the wire: price as text, time with microseconds."""
     return ticks.select(
+        *extra,
         F.to_json(
             F.struct(
                 "symbol",
