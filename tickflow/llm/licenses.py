@@ -5,9 +5,9 @@ lower case, hashed; only those that occur in a template carry weight, so the
 model is sparse. A multinomial logistic regression over the licence families
 and the class of no licence is trained here, on the templates with other words
 around them, on parts of templates, on their words in other orders, and on at
-most `background_rows` paragraphs of the corpus (the least hash of so many
-classes; a documented bound of the sample) that have little in common with any
-template. The threshold of the unknown class is
+most `background_rows` paragraphs of the corpus (picked by least hashes; a
+documented bound of the sample) that have little in common with any template.
+All features of a picked paragraph count, however long it is. The threshold of the unknown class is
 calibrated on paragraphs held out of the training: it is the least confidence
 at which at most one in a hundred held-out paragraphs of no licence would be
 named a licence.
@@ -173,22 +173,39 @@ def _lines(text: Column, numbers: list[int], known: Column) -> Column:
     return let(F.transform(F.split(text, "\n"), line), lambda all_lines: F.transform(all_lines, lambda x, i: linked(all_lines, x, i)))
 
 
-def _examples(spark: SparkSession, background: list[str]) -> DataFrame:
-    """(text, label): templates alone, between other words, and halves of long ones as licences of their family; the rest none."""
+def _background(docs: DataFrame, text: str, numbers: list[int], rows: int) -> list:
+    """At most so many paragraphs that have little in common with any template: feature numbers, and some words.
+
+    The least hash of each of four times as many classes of hashes is picked
+    first, a few numbers from each task; only the picked paragraphs are taken
+    apart, each as a whole.
+    """
+    lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("text"))
+    hashed = lines.select(F.xxhash64("text").alias("h"))
+    picked = hashed.groupBy(F.pmod("h", F.lit(4 * rows))).agg(F.min("h").alias("h")).select("h")
+    texts = lines.join(F.broadcast(picked), F.xxhash64("text") == F.col("h")).groupBy("h").agg(F.min("text").alias("text"))
+    parts = texts.select("h", _tokens(F.col("text")).alias("tokens"), _feature_numbers(F.col("text"), numbers).alias("numbers"))
+    # A notice shares most of its features with a template; other text shares few.
+    plain = parts.filter(F.size("numbers") <= 0.5 * F.size("tokens"))
+    return plain.select("h", "numbers", F.slice("tokens", 1, 12).alias("words")).orderBy("h").limit(rows).collect()
+
+
+def _examples(spark: SparkSession, background: list, numbers: list[int]) -> DataFrame:
+    """(numbers, label): templates alone, between other words, and halves of long ones as licences of their family; the rest none."""
     rows = []
-    around = [b.split() for b in background if len(b.split()) >= 12] or [["other", "words"] * 8]
+    around = [b.words for b in background if len(b.words) == 12] or [["other", "words"] * 8]
     for label, family in enumerate(FAMILIES):
         for template in TEMPLATES[family]:
             words = template.split()
             for i in range(40):
                 other = around[(7 * i + label) % len(around)]
-                rows.append((" ".join([*other[:i % 6], *words, *other[6:6 + i % 5]]), label))
+                rows.append((" ".join([*other[:i % 6], *words, *other[6:6 + i % 5]]), float(label)))
             if len(words) > 12:
-                rows += [(" ".join(words[i:i + len(words) // 2]), label) for i in range(len(words) // 2)]
+                rows += [(" ".join(words[i:i + len(words) // 2]), float(label)) for i in range(len(words) // 2)]
             # The same words in another order are no licence.
-            rows += [(" ".join(order), len(FAMILIES)) for order in (words[::-1], words[::2] + words[1::2], sorted(words))]
-    rows += [(text, len(FAMILIES)) for text in background]
-    return spark.createDataFrame(rows, "text string, label int").withColumn("label", F.col("label").cast("double"))
+            rows += [(" ".join(order), float(len(FAMILIES))) for order in (words[::-1], words[::2] + words[1::2], sorted(words))]
+    made = spark.createDataFrame(rows, "text string, label double").select(_feature_numbers(F.col("text"), numbers).alias("numbers"), "label")
+    return made.unionByName(spark.createDataFrame([(b.numbers, float(len(FAMILIES))) for b in background], "numbers array<int>, label double"))
 
 
 def train(docs: DataFrame, text: str = "text", background_rows: int = BACKGROUND_ROWS) -> Model:
@@ -199,23 +216,16 @@ def train(docs: DataFrame, text: str = "text", background_rows: int = BACKGROUND
     numbers = [-1] * BUCKETS
     for number, bucket in enumerate(buckets):
         numbers[bucket] = number
-    lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("text"))
-    # A notice shares most of its features with a template; other text shares few.
-    plain = lines.filter(F.size(_feature_numbers(F.col("text"), numbers)) <= 0.5 * F.size(_tokens(F.col("text"))))
-    # The least hash of each of so many classes of hashes: a few numbers from each task.
-    hashed = plain.select(F.xxhash64("text").alias("h"))
-    picked = hashed.groupBy(F.pmod("h", F.lit(background_rows))).agg(F.min("h").alias("h")).select("h")
-    texts = lines.join(F.broadcast(picked), F.xxhash64("text") == F.col("h")).groupBy("h").agg(F.min(F.substring("text", 1, 2000)))
-    background = [r[1] for r in texts.orderBy("h").collect()]  # at most background_rows
+    background = _background(docs, text, numbers, background_rows)
     held_out, used = background[::4], [b for i, b in enumerate(background) if i % 4]
-    examples = _examples(spark, used).withColumn("numbers", _feature_numbers(F.col("text"), numbers))
+    examples = _examples(spark, used, numbers)
     dense = F.transform(F.sequence(F.lit(0), F.lit(len(buckets) - 1)), lambda i: F.array_contains("numbers", i).cast("double"))
     examples = saved(examples.coalesce(2).select("label", array_to_vector(dense).alias("features")))
     fitted = LogisticRegression(family="multinomial", regParam=0.002, maxIter=60).fit(examples)
     weights = [[float(x) for x in row] for row in fitted.coefficientMatrix.toArray()]
     model = Model(numbers, weights, [float(x) for x in fitted.interceptVector], 0.0)
-    apart = spark.createDataFrame([(t,) for t in held_out], "text string")
-    confident = apart.select(_prediction(_feature_numbers(F.col("text"), numbers), model).alias("p")).select("p.confidence").orderBy(F.desc("confidence"))
+    apart = spark.createDataFrame([(b.numbers,) for b in held_out], "numbers array<int>")
+    confident = apart.select(_prediction(F.col("numbers"), model).alias("p")).select("p.confidence").orderBy(F.desc("confidence"))
     worst = [r[0] for r in confident.limit(len(held_out) // 100 + 1).collect()]
     return Model(numbers, weights, model.intercepts, max(0.5, worst[-1] if worst else 0.5))
 
