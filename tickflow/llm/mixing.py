@@ -70,7 +70,7 @@ def _draws(units: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
     larger = Window.partitionBy("source").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
     smaller = Window.partitionBy("source").orderBy("size")
     words = F.col("size") * F.col("rows")
-    squares = (F.col("size").cast("decimal(19,0)") * F.col("size").cast("decimal(19,0)")).cast("decimal(28,0)") * F.col("rows").cast("decimal(9,0)")
+    squares = (F.col("size").cast("decimal(19,0)") * F.col("size").cast("decimal(19,0)")).cast("decimal(28,0)") * F.col("rows").cast("decimal(19,0)")
     sizes = sizes.withColumns({
         "above": F.coalesce(F.sum(words).over(larger), F.lit(0)),
         "below": F.sum(squares).over(smaller).cast("double")})
