@@ -51,11 +51,10 @@ def test_stats_equal_brute_force(ticks_of, seed, ladder):
     assert_close(got_stats(window_stats(ticks_of(rows, 5), ladder)), expected_stats(rows, ladder))
 
 
-def test_long_blocks_take_the_other_way(ticks_of, monkeypatch):
-    import tickflow.schemas as schemas
-    monkeypatch.setattr(schemas, "_SLOTS_PER_BLOCK", 1)
-    rows = random_ticks(3)
-    assert_close(got_stats(window_stats(ticks_of(rows), SMALL)), expected_stats(rows, SMALL))
+def test_long_blocks_take_the_other_way(ticks_of):
+    rows, ladder = random_ticks(3), Ladder(SMALL.rungs, slots_per_task=1)
+    assert SMALL.blocks_are_small and not ladder.blocks_are_small
+    assert_close(got_stats(window_stats(ticks_of(rows), ladder)), expected_stats(rows, ladder))
 
 
 def test_stats_equal_plain_aggregates(ticks_of):

@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tickflow.operators.ingest import parse_ticks
@@ -174,21 +175,24 @@ def test_state_written_follows_the_new_ticks():
     slots.init(handle)
     rng = np.random.default_rng(1)
     for n in (4000, 50, 50, 7):
-        frame = pd.DataFrame({"us": rng.integers(0, 6 * S, n), "price": rng.random(n), "asks": True})
-        list(slots.handleInputRows(("A", 0), iter([frame]), Clock()))
+        chunk = Row(us=rng.integers(0, 6 * S, n).tobytes(), price=rng.random(n).tobytes(), asks=np.ones(n, bool).tobytes())
+        list(slots.handleInputRows(("A", 0), iter([chunk]), Clock()))
     assert handle.written == [17 * n for n in (4000, 50, 50, 7)]
     assert set(handle.timers) == {27_000}
-    out = pd.concat(slots.handleExpiredTimer(("A", 0), Clock(27_000), None))
-    assert len(out) == 2 * 4107 and not list(slots.chunks.get())
+    out = list(slots.handleExpiredTimer(("A", 0), Clock(27_000), None))
+    assert [(r.kind, len(r.us), len(r.gap)) for r in out] == [("higher", 4107, 4107), ("lower", 4107, 4107)]
+    assert not list(slots.chunks.get())
 
 
 def test_a_hot_symbol_works_on_several_keys_and_shows_few_ticks():
     us = np.arange(5000) * 40 * S // 5000
     price = np.random.default_rng(2).random(5000)
     batch = pa.RecordBatch.from_pydict({"symbol": ["A"] * 5000, "price": price, "us": us})
-    plain, thin = (pa.Table.from_batches(list(_shown(21 * S, 6 * S, records)(iter([batch])))).to_pandas().iloc[:-1] for records in (False, True))
-    assert plain["slot"].nunique() >= 7 and plain["asks"].sum() == thin["asks"].sum() == 5000
-    assert len(thin) < 5000 * 1.05 < 3 * 5000 < len(plain)
+    rows = {records: pa.Table.from_batches(list(_shown(21 * S, 6 * S, records)(iter([batch])))).to_pylist()[:-1] for records in (False, True)}
+    ticks = {records: sum(len(r["asks"]) for r in some) for records, some in rows.items()}
+    assert all(len({r["slot"] for r in some}) == len(some) >= 7 for some in rows.values())
+    assert all(sum(map(sum, (r["asks"] for r in some))) == 5000 for some in rows.values())
+    assert ticks[True] < 5000 * 1.05 < 3 * 5000 < ticks[False]
 
 
 def test_late_ticks_are_kept_while_their_slot_waits(spark, ticks_of, tmp_path):

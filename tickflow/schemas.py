@@ -40,9 +40,6 @@ SHIFT_HORIZON = 20
 
 MICROS = 1_000_000
 
-# Rows of one symbol that may share a task after the slots are summed up.
-_SLOTS_PER_BLOCK = 100_000
-
 
 @dataclass(frozen=True)
 class Ladder:
@@ -50,10 +47,13 @@ class Ladder:
 
     Every window of every rung is a run of whole `slot`s and lies inside one
     `block`, so moments per slot are enough to build all rungs, and a block is
-    the unit that has to sit on one task to do it.
+    the unit that has to sit on one task to do it. Where a block has more slots
+    than `slots_per_task`, as with widths that hardly nest, batch operators deal
+    out windows in place of blocks; results are the same.
     """
 
     rungs: tuple[tuple[str, int], ...]
+    slots_per_task: int = 100_000
 
     def __post_init__(self):
         widths = [w for _, w in self.rungs]
@@ -84,7 +84,7 @@ class Ladder:
 
     @property
     def blocks_are_small(self) -> bool:
-        return self.block // self.slot <= _SLOTS_PER_BLOCK
+        return self.block // self.slot <= self.slots_per_task
 
 
 # The default ladder, and one for the sparse test events.

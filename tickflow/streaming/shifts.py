@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -35,8 +35,9 @@ from tickflow.schemas import LATENESS, MICROS, SHIFT_HORIZON
 LATE = "late"
 _OUT = "symbol string, us long, price double, kind string, gap long"
 _STATE = "us binary, price binary, marks binary"
+_ANSWERS = "symbol string, kind string, us array<long>, price array<double>, gap array<long>"
 _NO_SLOT = -1  # slots begin at multiples of their width
-_SHOWN = "seen timestamp, symbol string, slot long, us long, price double, asks boolean"
+_SHOWN = "seen timestamp, symbol string, slot long, us binary, price binary, asks binary"
 
 # Marks of a tick in the state of a slot.
 _ASKS, _HIGHER_SENT, _LOWER_SENT = 1, 2, 4
@@ -80,12 +81,16 @@ def _final(ticks: DataFrame, limit: int, width: int, lateness: int, keep_late: b
     plain = ticks.select("symbol", F.col("price").cast("double").alias("price"), micros(F.col("timestamp")).alias("us"))
     # Rows carry no event time, so the step itself tells which are late; one row per batch carries the latest.
     shown = plain.mapInArrow(_shown(limit, width, keep_late), _SHOWN).withWatermark("seen", f"{lateness} seconds")
-    return shown.groupBy("symbol", "slot").transformWithStateInPandas(
-        _Slots(limit, width, keep_late), _OUT, "Append", "EventTime")
+    found = shown.groupBy("symbol", "slot").transformWithState(
+        _Slots(limit, width, keep_late), _ANSWERS, "Append", "EventTime")
+    return found.select("symbol", "kind", F.explode(F.arrays_zip("us", "price", "gap")).alias("of")).select("symbol", "kind", "of.*")
 
 
 def _shown(limit: int, width: int, records: bool):
-    """Each tick for its own slot, and for the earlier slots that it can have an answer for, if it is a record there."""
+    """Each tick for its own slot, and for the earlier slots that it can have an answer for, if it is a record there.
+
+    What a batch has for a slot is one row, with the ticks as bytes.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -112,12 +117,20 @@ def _shown(limit: int, width: int, records: bool):
                 slots.append(slot[some] - back)
                 asks.append(np.zeros(len(some), bool))
             rows, slots, asks = (np.concatenate(parts) for parts in (rows, slots, asks))
+            order = np.lexsort((slots, codes[rows]))
+            rows, slots, asks = rows[order], slots[order], asks[order]
+            new = np.append(True, (codes[rows][1:] != codes[rows][:-1]) | (slots[1:] != slots[:-1]))
+            cuts = np.append(np.flatnonzero(new), len(rows)).tolist()
+
+            def chunks(column: np.ndarray) -> list[bytes]:
+                size, data = column.itemsize, column.tobytes()
+                return [data[a * size:b * size] for a, b in zip(cuts, cuts[1:])] + [b""]
             # The last row has the time of the batch, on a slot that there is not.
-            names = symbols.dictionary.take(pa.array(codes[rows])).cast(pa.string())
-            seen = pa.array([None] * len(rows) + [int(us.max())], pa.timestamp("us", tz="UTC"))
+            names = symbols.dictionary.take(pa.array(codes[rows[new]])).cast(pa.string())
+            seen = pa.array([None] * len(names) + [int(us.max())], pa.timestamp("us", tz="UTC"))
             yield pa.RecordBatch.from_arrays(
-                [seen, pa.concat_arrays([names, pa.nulls(1, pa.string())]), *(pa.array(np.append(column, last)) for column, last in (
-                    (slots, _NO_SLOT), (us[rows], 0), (price[rows], 0.0), (asks, False)))],
+                [seen, pa.concat_arrays([names, pa.nulls(1, pa.string())]), pa.array(np.append(slots[new], _NO_SLOT)),
+                 *(pa.array(chunks(column), pa.binary()) for column in (us[rows], price[rows], asks))],
                 names=["seen", "symbol", "slot", "us", "price", "asks"])
     return run
 
@@ -135,16 +148,15 @@ class _Slots(StatefulProcessor):
     def _end(self, slot: int) -> int:
         return slot + self.width + self.limit
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         symbol, slot = key
         if slot == _NO_SLOT:
             return  # the row that carries the time
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        frame = pd.concat(list(rows))
-        us, price, asks = (frame[name].to_numpy(kind) for name, kind in (("us", np.int64), ("price", np.float64), ("asks", bool)))
+        us, price, asks = _chunks((row.us, row.price, row.asks) for row in rows)
         over = self._end(int(slot)) <= watermark
         if over and self.keep_late and asks.any():
-            yield pd.DataFrame({"symbol": symbol, "us": us[asks], "price": price[asks], "kind": LATE, "gap": -1})
+            yield _answers(symbol, LATE, us[asks], price[asks], np.full(asks.sum(), -1))
         in_time = np.full(len(us), not over) if self.keep_late else us > watermark
         if not over and in_time.any():
             kept = np.flatnonzero(in_time)[np.argsort(-us[in_time], kind="stable")]
@@ -152,11 +164,9 @@ class _Slots(StatefulProcessor):
             self.chunks.appendList([(us[kept].tobytes(), price[kept].tobytes(), asks[kept].tobytes())])
             self.handle.registerTimer(-(-self._end(int(slot)) // 1000))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         symbol, slot = key
-        chunks = list(self.chunks.get())
-        us, price, asks = (
-            np.concatenate([np.frombuffer(chunk[i], kind) for chunk in chunks]) for i, kind in enumerate((np.int64, np.float64, bool)))
+        us, price, asks = _chunks(self.chunks.get())
         self.chunks.clear()
         order = np.argsort(-us, kind="stable")
         order = order[_worth_keeping(us[order], price[order], int(slot) + self.width)]
@@ -165,12 +175,21 @@ class _Slots(StatefulProcessor):
             one_group = np.zeros(len(us), dtype=np.int64)
             for kind, sign in ((HIGHER, 1), (LOWER, -1)):
                 gap = Scan(self.limit).answers(one_group, us, sign * price, False)
-                yield pd.DataFrame({"symbol": symbol, "us": us[asks], "price": price[asks], "kind": kind, "gap": gap[asks]})
+                yield _answers(symbol, kind, us[asks], price[asks], gap[asks])
 
     def close(self) -> None:
         pass
 
 
+def _chunks(rows) -> list[np.ndarray]:
+    """Times, prices and whether they ask, from rows of bytes."""
+    return [np.frombuffer(b"".join(parts), kind) for parts, kind in zip(zip(*rows), (np.int64, np.float64, bool))]
+
+
+def _answers(symbol, kind: str, us: np.ndarray, price: np.ndarray, gap: np.ndarray) -> Row:
+    return Row(symbol=symbol, kind=kind, us=us.tolist(), price=price.tolist(), gap=gap.tolist())
+
+
 def _eager(marked: DataFrame, limit: int, seconds: int) -> DataFrame:
     marked = marked.withColumn("us", micros(F.col("timestamp")))
     width = seconds * MICROS
