@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,7 +126,7 @@ def test_token_file_query_equals_the_tokenizer(spark, docs, tokenizer):
     assert sorted(map(tuple, QUERIES["op12_token_files"](spark, SF).collect())) == expected
 
 
-@pytest.mark.parametrize("options", [{}, {"every": 7, "block_bytes": 40, "max_bits": 10}, {"every": 1, "max_bits": 24}])
+@pytest.mark.parametrize("options", [{}, {"every": 7, "run_bytes": 40, "max_bits": 10}, {"every": 1, "max_bits": 24, "block_ids": 30}])
 def test_token_files_of_odd_rows_are_a_round_trip(spark, odd, tokenizer, tmp_path, options):
     wide = odd.withColumns({c: F.lit("x") for c in CLASHING})
     folder = f"{tmp_path}/tokens"
@@ -201,6 +202,19 @@ def test_cut_words_equal_the_whole_tokenizer(tokenizer):
             assert flat[first:first + n].tolist() == tokenizer.encode(word, add_special_tokens=False).ids
 
 
+def test_texts_cut_into_units_equal_the_whole_tokenizer(tokenizer):
+    random.seed(6)
+    alphabet = ["a", "B", "é", "É", "1", "²", ".", ",", "!", "?", "'", "s", "t", " ", " ", "\t", "\n", "-", "\u00a0", "日", "\u0301", "Σ", ";", ":"]
+    texts = ["", None, ".", ", ,", "a,", "a.,", "A.b. c'S! it's, 1. ²; é, É."] + ["".join(random.choices(alphabet, k=random.randint(1, 40))) for _ in range(4000)]
+    tokens = word_tokens.WordTokens(word_tokens.public_tokenizer())
+    counts, codes, distinct = tokens.units_of(pa.array(texts))
+    firsts, lengths, flat = tokens.look_up(distinct.to_pylist())
+    ends = np.cumsum(counts)
+    for text, first, end in zip(texts, ends - counts, ends):
+        got = [i for c in codes[first:end] for i in flat[firsts[c]:firsts[c] + lengths[c]].tolist()]
+        assert got == tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
 def test_other_tokenizers_are_left_whole():
     import public_tokenizers
     assert word_tokens.cutting_pattern(word_tokens.public_tokenizer())

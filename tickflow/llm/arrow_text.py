@@ -22,20 +22,37 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int, column: str = "tex
             start, before = stop, int(ends[stop - 1])
 
 
-def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Words between ASCII white space: number of words per text, the words as codes, and the distinct words (bytes) by code."""
+_ALPHANUMERIC = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
+
+
+def words_of(texts: pa.Array, lower: bool = False, apart: bytes = b"") -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words between ASCII white space: number of words per text, the words as codes, and the distinct words (bytes) by code.
+
+    `lower` makes A-Z lower case. Signs in `apart` are words of their own where
+    they end a word and stand behind an ASCII letter or digit.
+    """
     each = objects(pc.fill_null(pc.cast(texts, pa.large_binary()), b""))
-    data = np.frombuffer(b"\n".join(each), np.uint8)
+    joined = b"\n".join(each)
+    data = np.frombuffer(joined.lower() if lower else joined, np.uint8)
     gap = (data == 32) | ((data >= 9) & (data <= 13))
     edges = np.flatnonzero(np.diff(gap.view(np.int8), prepend=1, append=1))
     starts, ends = edges[::2], edges[1::2]
-    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+    text_ends = np.cumsum(np.fromiter(map(len, each), np.int64, len(each)) + 1)
+    upto = np.searchsorted(starts, text_ends)
+    lengths = ends - starts
+    if apart and len(starts):
+        signs = np.isin(np.arange(256), np.frombuffer(apart, np.uint8))
+        cut = signs[data[ends - 1]] & (lengths > 1) & _ALPHANUMERIC[data[np.maximum(ends - 2, 0)]]
+        cuts = np.append(0, np.cumsum(cut))
+        whole = lengths - cut
+        lengths = np.ones(len(starts) + int(cuts[-1]), np.int64)
+        lengths[np.arange(len(starts)) + cuts[:-1]] = whole
+        upto = upto + cuts[upto]
+    offsets = np.append(0, np.cumsum(lengths))
     words = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[~gap])])
+        pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data[~gap])])
     coded = words.dictionary_encode()
-    text_ends = np.cumsum(np.fromiter(map(len, each), np.int64, len(each)) + 1)
-    counts = np.diff(np.searchsorted(starts, text_ends), prepend=0)
-    return counts, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+    return np.diff(upto, prepend=0), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
 def objects(values: pa.Array) -> list:

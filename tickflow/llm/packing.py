@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.arrow_text import gather, objects, slices, words_of
+from tickflow.llm.arrow_text import gather, objects, slices
 from tickflow.llm.word_tokens import public_tokenizer, word_tokens
 
 CAPACITY = 4096
@@ -42,7 +42,7 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def _pieces(path: str, capacity: int, end_token: int, keep_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, _SLICE_BYTES):
-            counts, codes, distinct = words_of(batch.column("text"))
+            counts, codes, distinct = word_tokens(path).units_of(batch.column("text"))
             firsts, lengths, tokens = word_tokens(path).look_up(objects(distinct))
             flat = tokens[gather(firsts[codes], lengths[codes])].astype("<u4")
             ends = np.cumsum(np.bincount(np.repeat(np.arange(len(counts)), counts), lengths[codes], len(counts)).astype(np.int64))

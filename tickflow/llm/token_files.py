@@ -15,16 +15,17 @@ A block is decoded alone, by one look-up of `max_bits` bits per id. Its
 checkpoints are entry points: decoding runs from all of them side by side, and
 a few ids are read without what stands before them.
 
-Texts are sorted by ranges of doc_id and cut into blocks; each distinct word of
-a block is encoded once, and the block is kept as numbers of words until the
-counts of all ids are known. Counts, at most one per id of the vocabulary, are
+Texts are sorted by ranges of doc_id and encoded in runs of about `run_bytes`;
+each distinct word of a run is encoded once, and the run is kept as numbers of
+words until the counts of all ids are known. Counts, at most one per id of the vocabulary, are
 the only thing that meets in the driver. Words are then written, not ids: up to
 three ids have one joint code of at most 57 bits.
 
 Defined cases: a null or empty text is its end token alone; null doc_ids come
 first; documents of one doc_id are ordered by text hash and each has its own
 row; an empty table gives an empty codebook and no blocks; other columns are
-not read. A block holds about `block_bytes` of text, or one longer document.
+not read. A block ends with the document that brings it to `block_ids` ids, or
+with its run.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickflow.llm.arrow_text import gather, objects, slices, words_of
+from tickflow.llm.arrow_text import gather, objects, slices
 from tickflow.llm.helpers import saved
 from tickflow.llm.word_tokens import public_tokenizer, word_tokens
 from tickflow.session import scratch_dir
@@ -45,7 +46,9 @@ from tickflow.session import scratch_dir
 END_TOKEN = 2
 MAX_BITS = 18
 EVERY = 256
-BLOCK_BYTES = 16 << 20
+RUN_BYTES = 16 << 20
+BLOCK_IDS = 1 << 20
+_LANES = 4096  # checkpoints decoded side by side
 _JOINT_BITS = 57  # with 7 bits of shift they fit into 64
 _PART_BITS = 33  # of monotonically_increasing_id
 _DRAFT = pa.schema([
@@ -155,20 +158,23 @@ def decoded(book: Codebook, payload: bytes, checkpoints: np.ndarray, n: int, eve
     """`n` ids, from all checkpoints side by side; each of them leads to `every` ids but the last."""
     data = np.frombuffer(payload + bytes(8), np.uint8).astype(np.uint32)
     data = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]
-    at, last = checkpoints.astype(np.int64), len(data) - 1
-    out = np.empty((every, len(at)), np.uint32)
-    shift, mask = 32 - book.max_bits, (1 << book.max_bits) - 1
-    for k in range(every):
-        window = (data[np.minimum(at >> 3, last)] >> (shift - (at & 7)).astype(np.uint32)) & mask
-        out[k] = book.symbol[window]
-        at += book.length[window]
-    return out.T.ravel()[:n]
-
-
-def _drafts(path: str, end_token: int, block_bytes: int) -> Callable:
+    last, shift, mask = len(data) - 1, 32 - book.max_bits, (1 << book.max_bits) - 1
+    parts = [np.zeros(0, np.uint32)]
+    for first in range(0, len(checkpoints), _LANES):
+        at = checkpoints[first:first + _LANES].astype(np.int64)
+        out = np.empty((every, len(at)), np.uint32)
+        for k in range(every):
+            window = (data[np.minimum(at >> 3, last)] >> (shift - (at & 7)).astype(np.uint32)) & mask
+            out[k] = book.symbol[window]
+            at += book.length[window]
+        parts.append(out.T.ravel())
+    return np.concatenate(parts)[:n]
+
+
+def _drafts(path: str, end_token: int, run_bytes: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, block_bytes):
-            doc_words, codes, distinct = words_of(batch.column("text"))
+        for batch in slices(batches, run_bytes):
+            doc_words, codes, distinct = word_tokens(path).units_of(batch.column("text"))
             firsts, lengths, tokens = word_tokens(path).look_up(objects(distinct))
             # The end token is the last run.
             runs = np.append(tokens[gather(firsts, lengths)], end_token).astype("<u4")
@@ -197,7 +203,7 @@ def _unpacked(data: bytes) -> np.ndarray:
         pa.decompress(data[9:], int.from_bytes(data[1:9], "little"), "zstd", asbytes=True), f"<u{data[0]}").astype(np.int64)
 
 
-def _write(ids: np.ndarray, bits: np.ndarray, max_bits: int, every: int) -> Callable:
+def _write(ids: np.ndarray, bits: np.ndarray, max_bits: int, every: int, block_ids: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = Codebook(ids, bits, max_bits)
         place, within = None, 0
@@ -205,20 +211,26 @@ def _write(ids: np.ndarray, bits: np.ndarray, max_bits: int, every: int) -> Call
             for row in batch.to_pylist():
                 if row["_range"] != place:
                     place, within = row["_range"], 0
-                lengths = _unpacked(row["run_lengths"])
-                ends = np.cumsum(np.array(row["doc_words"], np.int64))
-                codes = np.insert(_unpacked(row["codes"]), ends, len(lengths) - 1)
-                payload, checkpoints = Joint(book, lengths, _unpacked(row["runs"])).written(codes, every)
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((
-                    row["_start"] + within, row["n"], every, checkpoints, row["doc_ids"], row["doc_lengths"], payload),
-                    _BLOCK.types)], schema=_BLOCK)
-                within += row["n"]
+                lengths, codes = _unpacked(row["run_lengths"]), _unpacked(row["codes"])
+                joint = Joint(book, lengths, _unpacked(row["runs"]))
+                doc_ends = np.cumsum(np.array(row["doc_words"], np.int64))
+                doc_lengths = np.array(row["doc_lengths"], np.int64)
+                filled = (np.cumsum(doc_lengths) - doc_lengths) // block_ids
+                cuts = [0, *(np.flatnonzero(filled[:-1] != filled[1:]) + 1).tolist(), len(filled)]
+                for a, b in zip(cuts, cuts[1:]):
+                    low, n = int(doc_ends[a - 1]) if a else 0, int(doc_lengths[a:b].sum())
+                    words = np.insert(codes[low:doc_ends[b - 1]], doc_ends[a:b] - low, len(lengths) - 1)
+                    payload, checkpoints = joint.written(words, every)
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((
+                        row["_start"] + within, n, every, checkpoints, row["doc_ids"][a:b], doc_lengths[a:b], payload),
+                        _BLOCK.types)], schema=_BLOCK)
+                    within += n
     return run
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None, doc_id: str = "doc_id", text: str = "text",
                       end_token: int = END_TOKEN, max_bits: int = MAX_BITS, every: int = EVERY,
-                      block_bytes: int = BLOCK_BYTES) -> None:
+                      run_bytes: int = RUN_BYTES, block_ids: int = BLOCK_IDS) -> None:
     """Encode all documents and write them to a folder that does not exist yet."""
     if not 1 <= max_bits <= 24:
         raise ValueError("codes can have 1 to 24 bits")
@@ -227,7 +239,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
     ordered = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumns({
         "_text": F.xxhash64("text"), "_copy": F.monotonically_increasing_id()})
     ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    drafts = ordered.mapInArrow(_drafts(path, end_token, block_bytes), _DRAFT_DDL)
+    drafts = ordered.mapInArrow(_drafts(path, end_token, run_bytes), _DRAFT_DDL)
     drafts = saved(drafts.withColumn("_range", F.shiftright(F.monotonically_increasing_id(), _PART_BITS)))
 
     counted = drafts.select(F.explode(F.arrays_zip("ids", "counts")).alias("c")).groupBy(F.col("c.ids").alias("id")).agg(
@@ -240,7 +252,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     blocks = drafts.drop("ids", "counts").join(F.broadcast(starts), "_range").mapInArrow(
-        _write(ids, bits, max_bits, every), _BLOCK_DDL)
+        _write(ids, bits, max_bits, every, block_ids), _BLOCK_DDL)
     blocks.write.option("compression", "none").parquet(f"{folder}/blocks")
     book = spark.createDataFrame(pa.table({
         "id": pa.array(ids, pa.int64()), "bits": pa.array(bits, pa.int32()), "max_bits": pa.array([max_bits] * len(ids), pa.int32())}))

@@ -17,10 +17,13 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-from tickflow.llm.arrow_text import gather, objects
+from tickflow.llm.arrow_text import gather, objects, words_of
 
 # Printable characters up to Latin Extended-B: NFC leaves them alone, and none is white space.
+_TOGETHER = 1024  # parts encoded in one call
 _PLAIN = regex.compile("[\x21-\x7e\xa1-ɏ]+")
+# Fixed value: contractions, runs of letters, single digits, runs of other signs.
+_LETTERS_OR_SIGNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NFC_SPACE_LOWER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 
 
@@ -80,12 +83,26 @@ class WordTokens:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.merges = self.whole.model
         self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # Parts go through the merges many at a time, a line each; where words have an end of their own, it tells lines apart.
+        self.lines = Tokenizer.from_file(path)
+        self.lines.encode_special_tokens = True
+        self.lines.normalizer = None
+        self.lines.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("\n", "removed"), self.as_bytes])
+        suffix = getattr(self.lines.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.lines.get_vocab_size(), bool)
+        if suffix:
+            self.ends[[i for token, i in self.lines.get_vocab().items() if token.endswith(suffix)]] = True
         pattern = cutting_pattern(path)
         self.cut = regex.compile(rf"\n|{pattern}") if pattern else None
+        # With this pattern a sign behind a letter or digit is a part of its own, and case does not count.
+        self.apart = b".,;:!?" if pattern == _LETTERS_OR_SIGNS else b""
         self.words, self.parts = _Runs(most), _Runs(most)
 
+    def units_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """`words_of` the texts, cut further where that leaves the tokens as they are, so that fewer are distinct."""
+        return words_of(texts, lower=bool(self.apart), apart=self.apart)
+
     def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return self.words.look_up(words, lambda unknown: self.encode([w.decode() for w in unknown]))
 
@@ -123,12 +140,21 @@ class WordTokens:
         return per_word, tokens[gather(firsts[codes], runs)]
 
     def _merged(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if not any(parts):
-            return _flat([[] for _ in parts])
-        mapped = "".join(piece for piece, _ in self.as_bytes.pre_tokenize_str("\n".join(parts)))
-        mark = self.as_bytes.pre_tokenize_str("\n")[0][0]
-        tokenize = self.merges.tokenize
-        return _flat([[t.id for t in tokenize(part)] for part in mapped.split(mark)])
+        groups = [parts[i:i + _TOGETHER] for i in range(0, len(parts), _TOGETHER)]
+        encoded = self.lines.encode_batch_fast(["\n".join(group) for group in groups], add_special_tokens=False)
+        lengths, tokens = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        for group, line in zip(groups, encoded):
+            ids = np.array(line.ids, np.uint32)
+            last = np.flatnonzero(self.ends[ids])
+            there = np.array([part != "" for part in group])
+            if len(last) == there.sum():
+                each = np.zeros(len(group), np.int64)
+                each[there] = np.diff(last, prepend=-1)
+            else:
+                each, ids = _flat([e.ids for e in self.lines.encode_batch_fast(group, add_special_tokens=False)])
+            lengths.append(each)
+            tokens.append(ids)
+        return np.concatenate(lengths), np.concatenate(tokens)
 
 
 _LOADED: dict[str, WordTokens] = {}
