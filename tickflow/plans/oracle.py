@@ -99,13 +99,13 @@ union all
 select symbol, ts, 'lower', lower_window, lower_found from shifts"""
 
 
-# Late ticks: the watermark is 10 s (in whole milliseconds) behind the last tick in time; a slot is a quarter of the
+# Late ticks: the watermark is 10 s (in whole milliseconds) behind the last tick in time; a slot is half of the
 # horizon and waits until the watermark has passed its end by the horizon.
 _LATE_SHIFTS = f"""with ticks as (
   select event_type as symbol, value as price, ts, epoch_us(ts) as us, event_id % 7 = 3 as late from events where value is not null),
 mark as (select max(us) // 1000 * 1000 - 10000000 as us from ticks where not late),
 placed as (
-  select t.*, t.us // {(DAY + 4) // 4 * 1_000_000} * {(DAY + 4) // 4 * 1_000_000} + {((DAY + 4) // 4 + DAY + 1) * 1_000_000} <= mark.us as over
+  select t.*, t.us // {(DAY + 2) // 2 * 1_000_000} * {(DAY + 2) // 2 * 1_000_000} + {((DAY + 2) // 2 + DAY + 1) * 1_000_000} <= mark.us as over
   from ticks t, mark),
 gaps as (
   select a.symbol, a.ts, a.us, a.price, a.late, a.over,

@@ -63,7 +63,8 @@ def streaming_price_shifts(
     if late not in ("drop", "keep") or (late == "keep" and emit == "eager"):
         raise ValueError(f"late={late!r} with emit={emit!r}")
     limit = (horizon + 1) * MICROS
-    seconds = slot_seconds or -(-(horizon + 1) // 4)
+    # A slot that is only appended to may be wide; one that is written anew each time should hold less.
+    seconds = slot_seconds or -(-(horizon + 1) // (2 if emit == "final" else 4))
     timed = ticks.filter(F.col("price").isNotNull() & F.col("timestamp").isNotNull())
     if emit == "final":
         found = _final(timed, limit, seconds * MICROS, lateness, late == "keep")
