@@ -35,7 +35,7 @@ _INF = float("inf")
 _SIGNS = (1, -1)  # higher, lower
 _RECORD = {1: 1, -1: 2}  # bits of `_record`
 _PRICES = [f"{name}_{side}" for side in ("up", "down") for name in ("top", "best", "later")]
-_ROUTES = ("_at int, _targets array<struct<target:int,sign:int,begins:long,best:double,later:double>>, "
+_ROUTES = ("_at int, _in {symbol}, _targets array<struct<target:int,sign:int,begins:long,best:double,later:double>>, "
            "_askers array<struct<asker:int,sign:int>>")
 
 
@@ -170,8 +170,8 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def routes(pieces: DataFrame, limit: int) -> DataFrame:
-    """Per piece, from the table of a row per piece: the later pieces that can have an answer for it, the nearest
-    first, and the earlier ones that it can have an answer for.
+    """Per piece and symbol, from the table of a row per piece: the later pieces that can have an answer for it, the
+    nearest first, and the earlier ones that it can have an answer for.
 
     Pieces meet per symbol, in a chain; a piece whose last symbol is not its first stands in two chains.
     """
@@ -183,8 +183,7 @@ def routes(pieces: DataFrame, limit: int) -> DataFrame:
         F.array(place(asks, True, False), place(answers, False, True)))
     chained = pieces.withColumn("place", F.explode(places)).select("*", "place.*").drop("place", "asks", "answers")
     chained = chained.repartition("symbol").sortWithinPartitions("symbol", F.desc("piece"))
-    found = chained.mapInArrow(_routes(limit), _ROUTES)
-    return found.groupBy("_at").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("_targets", "_askers")))
+    return chained.mapInArrow(_routes(limit), _ROUTES.format(symbol=pieces.schema["asks"].dataType.simpleString()))
 
 
 def _routes(limit: int) -> Callable:
@@ -224,9 +223,9 @@ def _chain_routes(chain: list[pa.RecordBatch], limit: int) -> pa.RecordBatch:
         return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(
             [pa.array(column[order]) for column in columns.values()], names=list(columns)))
     return pa.RecordBatch.from_arrays([
-        pa.array(pieces, pa.int32()),
+        pa.array(pieces, pa.int32()), rows["symbol"].combine_chunks(),
         lists(asker, {"target": pieces[target], "sign": sign, "begins": rows["begins"].to_numpy()[target], "best": best, "later": later}),
-        lists(target, {"asker": pieces[asker], "sign": sign})], names=["_at", "_targets", "_askers"])
+        lists(target, {"asker": pieces[asker], "sign": sign})], names=["_at", "_in", "_targets", "_askers"])
 
 
 def chain_routes(asking: list[bool], answering: list[bool], begins: list[int], ends: list[int], top: list[float],
@@ -289,7 +288,8 @@ def placed(edge: DataFrame, columns: list[str], routes_: DataFrame) -> DataFrame
     can answer stays where it is. Routes are a few numbers for each piece, so
     their size goes with the partitions and not with the ticks.
     """
-    known = edge.join(F.broadcast(routes_), F.col("_piece") == F.col("_at"), "left")
+    known = edge.join(
+        F.broadcast(routes_), (F.col("_piece") == F.col("_at")) & F.col("symbol").eqNullSafe(F.col("_in")), "left")
 
     def spot(target: Column, asker: Column, sign: Column, asks: bool) -> Column:
         return F.struct(target.alias("target"), asker.alias("asker"), sign.alias("sign"), F.lit(asks).alias("asks"))
