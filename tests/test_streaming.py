@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -166,6 +167,18 @@ def test_batch_operators_refuse_streams(spark, tmp_path):
         streaming_price_shifts(ticks, emit="sometimes")
 
 
+def test_a_replay_leaves_no_scratch_folders(spark, ticks_of, tmp_path, monkeypatch):
+    from tickflow.streaming import replay
+    made = []
+    monkeypatch.setattr(replay, "scratch_dir", lambda _, name: made.append(str(tmp_path / name)) or made[-1])
+
+    def start(records, checkpoint):
+        return write_stream(records, checkpoint, "text", str(tmp_path / "out"), available_now=True)
+    replay_ticks(spark, ticks_of([("A", 1, 0), ("A", 2, S)]), start, steps=1, partitions=2)
+    assert spark.read.text(str(tmp_path / "out")).count() == 3
+    assert len(made) == 2 and not any(os.path.exists(path) for path in made)
+
+
 def test_flush_tick_is_far_ahead(ticks_of):
     ticks = ticks_of([("A", 1, 0)])
     gap = [flush_tick(ticks, n).select(F.unix_micros("timestamp")).first()[0] for n in (1, 2)]

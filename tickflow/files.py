@@ -17,6 +17,10 @@ class Files:
         store, where = self._at(path)
         return store.exists(where)
 
+    def remove(self, path: str) -> None:
+        store, where = self._at(path)
+        store.delete(where, True)
+
     def make_folder(self, path: str) -> None:
         store, where = self._at(path)
         store.mkdirs(where)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tickflow.files import Files
 from tickflow.functions.timeline import from_micros, micros, time_type
 from tickflow.session import scratch_dir, stream_settings
 from tickflow.sinks.write import run_to_end
@@ -31,7 +32,8 @@ def replay_ticks(
 
     `partitions` is the number of state partitions, the session's if not given.
     `flush_twice` adds a second, later flush tick, for queries whose output
-    feeds another one that has to be flushed as well.
+    feeds another one that has to be flushed as well. What was landed and the
+    checkpoint are removed at the end.
     """
     landing, checkpoint = scratch_dir(spark, "landing"), scratch_dir(spark, "checkpoint")
     as_type = time_type(ticks, "timestamp")
@@ -52,6 +54,8 @@ def replay_ticks(
         _run_on(spark, part, landing, checkpoint, start, partitions)
     if flush_twice:
         _run_on(spark, flush_tick(ticks, times=2), landing, checkpoint, start, partitions)
+    for folder in (landing, checkpoint):
+        Files(spark).remove(folder)
 
 
 def _run_on(spark, part: DataFrame, landing: str, checkpoint: str, start, partitions: int | None) -> None:
