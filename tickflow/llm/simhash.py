@@ -6,14 +6,14 @@ the smallest doc_id it can reach.
 
 Search: a BK-tree hangs every fingerprint below its parent under their
 distance; a query follows only the edges within the radius. One tree over
-everything, or every tree against every query, would cost a power of about 1.7
-of the corpus, so trees are built in shards and sent only to the queries that
-can match: bits are cut into radius + 2 blocks; fingerprints within the radius
-agree in at least two blocks, so each pair of blocks and their value is a
-shard. A shard of more than `shard_rows` fingerprints is dealt out in chunks,
-and each pair of chunks meets in one task: the tree of one is queried by the
-other. So memory is bounded for any input, and nothing is sampled or capped.
-A task passes on a spanning forest of the links it found.
+everything, or every tree against every query, would cost a power of about 1.6
+of the corpus, so trees are built in shards and sent, by shuffle, only to the
+queries that can match: bits are cut into radius + 1 blocks; fingerprints within
+the radius agree in at least one, so each block and its value is a shard. A
+shard of more than `shard_rows` fingerprints is dealt out in chunks, and each
+pair of chunks meets in one task: the tree of one is queried by the other. So
+memory is bounded for any input, and nothing is sampled or capped. A task
+passes on a spanning forest of the links it found.
 
 Defined cases: a null text has no words, like an empty one; texts without
 words have fingerprint zero and are linked like any other; a null doc_id is
@@ -24,7 +24,6 @@ table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -156,12 +155,12 @@ def _search(radius: int) -> Callable:
 
 
 def _shards(radius: int) -> Column:
-    """The shards of a fingerprint: for each pair of blocks, the pair's number and the bits of both."""
-    blocks = radius + 2
+    """The shards of a fingerprint: for each block of bits, its number and value."""
+    blocks = radius + 1
     edges = [i * _BITS // blocks for i in range(blocks + 1)]
     shards = []
-    for number, (i, j) in enumerate(combinations(range(blocks), 2)):
-        mask = sum(((1 << (edges[k + 1] - edges[k])) - 1) << edges[k] for k in (i, j))
+    for number, (low, high) in enumerate(zip(edges, edges[1:])):
+        mask = ((1 << (high - low)) - 1) << low
         signed = mask - (1 << _BITS) if mask >> (_BITS - 1) else mask
         shards.append(F.xxhash64(F.lit(number), F.col("fp").bitwiseAND(F.lit(signed))))
     return F.array(*shards)
