@@ -1,7 +1,7 @@
 """Exact duplicates by deterministic block naming.
 
 Texts are cut into blocks of a fixed number of bytes. All distinct blocks are
-sorted and numbered; then adjacent pairs of numbers are sorted and numbered
+sorted, each partition of their hashes by itself, and numbered; then adjacent pairs of numbers are sorted and numbered
 again, level by level, until each document is left with one number. Two
 documents are equal if and only if they took as many levels and end with the
 same number: numbers stand for contents, so there are no collisions.

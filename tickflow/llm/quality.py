@@ -16,8 +16,9 @@ corpus.
 
 Defined cases: a null text has no words, fails the base rules and is rejected;
 a document without features scores 0; without trusted labels, or labels at
-all, all scores are 0 and the base rules decide alone; repeated rows are judged
-alike; an empty table gives no rows.
+all, all scores are 0 and the base rules decide alone; a null doc_id has no label;
+rows that share a doc_id share its label, and repeated rows are judged alike; an
+empty table gives no rows.
 """
 
 from __future__ import annotations

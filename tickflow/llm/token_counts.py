@@ -14,7 +14,9 @@ piece covers costs `unknown` below the least score and is as many tokens as it
 has UTF-8 bytes (byte fallback). The vocabulary file is a parameter; if it
 holds merge ranks in place of log probabilities, pieces get Zipf's.
 
-No rows move between tasks and a task holds one run of documents.
+Words are laid out in three tries by length (12, 24 and 64 characters); the few
+that are longer go through the same recursion one by one. No rows move between
+tasks and a task holds one run of documents.
 
 Defined cases: a null or empty text has 0 words and 0 tokens; a null doc_id is
 carried through; repeated rows are counted alike; an empty table gives no rows.
