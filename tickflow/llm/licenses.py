@@ -5,10 +5,11 @@ lower case, hashed; the end of a sentence or line is a word, too. Only features
 that occur in a template carry weight, so the model is sparse. A multinomial
 logistic regression over the licence families and the class of no licence is
 trained here, on the templates with other words around them, on two templates
-in a row, on parts of templates, on their words in other orders, and on at `background_rows` paragraphs of the corpus (picked by least hashes; a
-documented bound of the sample) that have little in common with any template.
-All features of a picked paragraph count, however long it is. The threshold of the unknown class is
-calibrated on paragraphs held out of the training: it is the least confidence
+in a row, on parts of templates, on their words in other orders, and on at most
+`background_rows` paragraphs of the corpus (picked by least hashes; a documented
+bound of the sample) that have little in common with any template. All features
+of a picked paragraph count, however long it is. The threshold of the unknown
+class is calibrated on paragraphs held out of the training: it is the least odds
 at which at most one in a hundred held-out paragraphs of no licence would be
 named a licence. A quarter of the background and words of templates in orders
 that are not used in training are held out.
@@ -33,7 +34,8 @@ Everything on the path of the corpus is a column expression; the model is a few
 arrays of constants, whose size is bounded by the templates. There is no
 shuffle but for the sum per document.
 
-Defined cases: a null text has no paragraphs; paragraphs without a word are
+Defined cases: a null text has no paragraphs; of a long paragraph every word and
+pair counts; paragraphs without a word are
 not counted; rows that agree in doc_id and text are judged alike and stay
 separate rows; an empty table gives no rows.
 """
@@ -231,22 +233,26 @@ def _constants(values: list, kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
-def _weighted(hashes: Column, features: Features) -> Column:
-    """Those of the hashes that are features."""
-    def is_feature(h: Column) -> Column:
-        return let(F.get(_constants(features.buckets, "int"), _bucket(h)), lambda n: (n >= 0) & (
-            F.get(_constants(features.hashes, "bigint"), n) == h))
-    return F.filter(hashes, is_feature)
+def _near(hashes: Column, features: Features) -> Column:
+    """Those of the hashes whose bucket has a feature: a few, among them all that are features."""
+    return F.filter(hashes, lambda h: F.get(_constants(features.buckets, "int"), _bucket(h)) >= 0)
 
 
-def _numbered(hashes: Column, features: Features) -> Column:
-    """Numbers of the features among hashes, each once."""
-    return F.array_distinct(F.transform(_weighted(hashes, features), lambda h: F.get(_constants(features.buckets, "int"), _bucket(h))))
+def _weighted(near: Column, features: Features) -> Column:
+    """Those of near hashes that are features."""
+    def number(h: Column) -> Column:
+        return F.get(_constants(features.buckets, "int"), _bucket(h))
+    return F.filter(near, lambda h: F.get(_constants(features.hashes, "bigint"), number(h)) == h)
+
+
+def _numbered(near: Column, features: Features) -> Column:
+    """Numbers of the features among near hashes, each once."""
+    return F.array_distinct(F.transform(_weighted(near, features), lambda h: F.get(_constants(features.buckets, "int"), _bucket(h))))
 
 
 def _feature_numbers(text: Column, features: Features) -> Column:
     """Numbers of the features that a paragraph has, each once."""
-    return _numbered(_hashes(_tokens(text)), features)
+    return let(_near(_hashes(_tokens(text)), features), lambda near: _numbered(near, features))
 
 
 def _containment(held: Column, family: Column, pairs: dict[str, list[list[int]]]) -> Column:
@@ -275,25 +281,25 @@ def _lines(text: Column, features: Features, known: Column) -> Column:
     `links` are the template pairs with those that reach over to the lines
     before and after, `across` the feature numbers of the latter.
     """
-    def in_templates(pairs: Column) -> Column:
-        # Most pairs have no weight, so most lines are not compared with the list of all.
-        near = F.filter(pairs, lambda h: F.get(_constants(features.buckets, "int"), _bucket(h)) >= 0)
-        return let(near, lambda n: F.when(F.size(n) > 0, F.array_intersect(n, known)).otherwise(n))
+    def in_templates(near: Column) -> Column:
+        # Most lines have no such pair, and are not compared with the list of all.
+        return F.when(F.size(near) > 0, F.array_intersect(near, known)).otherwise(near)
 
     def line(x: Column) -> Column:
         return let(_tokens(x), lambda t: let(F.struct(F.transform(t, lambda w: F.xxhash64(w)).alias("h"), _word_count(t).alias("n")), hashed_line(x)))
 
     def hashed_line(x: Column):
-        return lambda l: let(_pairs(l["h"]), lambda p: F.struct(
+        near = lambda l: F.struct(_near(l["h"], features).alias("words"), _near(_pairs(l["h"]), features).alias("pairs"))
+        return lambda l: let(near(l), lambda k: F.struct(
             x.alias("text"), l["n"].alias("n"), F.when(l["n"] > 0, F.get(l["h"], F.lit(0))).alias("head"),
             F.get(l["h"], F.size(l["h"]) - 2).alias("tail"),
-            _numbered(F.concat(l["h"], p), features).alias("numbers"), in_templates(p).alias("held")))
+            _numbered(F.concat(k["words"], k["pairs"]), features).alias("numbers"), in_templates(k["pairs"]).alias("held")))
 
     def linked(all_lines: Column, x: Column, i: Column) -> Column:
         def pair(left: Column, right: Column) -> Column:
             return F.when(left.isNotNull() & right.isNotNull(), F.xxhash64(left, right))
         edges = F.array(pair(F.get(all_lines, i - 1)["tail"], x["head"]), pair(x["tail"], F.get(all_lines, i + 1)["head"]))
-        return let(in_templates(F.filter(edges, lambda h: h.isNotNull())), lambda e: F.struct(
+        return let(let(_near(F.filter(edges, lambda h: h.isNotNull()), features), in_templates), lambda e: F.struct(
             x["text"].alias("text"), x["n"].alias("n"), x["numbers"].alias("numbers"), x["held"].alias("held"),
             F.array_union(x["held"], e).alias("links"), _numbered(e, features).alias("across")))
     return let(F.transform(F.split(text, "\n"), line), lambda all_lines: F.transform(all_lines, lambda x, i: linked(all_lines, x, i)))
@@ -311,7 +317,7 @@ def _background(docs: DataFrame, text: str, features: Features, rows: int) -> li
     picked = hashed.groupBy(F.pmod("h", F.lit(4 * rows))).agg(F.min("h").alias("h")).select("h")
     texts = lines.join(F.broadcast(picked), F.xxhash64("text") == F.col("h")).groupBy("h").agg(F.min("text").alias("text"))
     parts = texts.select("h", _tokens(F.col("text")).alias("tokens"), _feature_numbers(F.col("text"), features).alias("numbers"),
-                         F.array_distinct(_weighted(_pairs_of(F.col("text")), features)).alias("held"))
+                         F.array_distinct(_weighted(_near(_pairs_of(F.col("text")), features), features)).alias("held"))
     # A notice shares most of its features with a template; other text shares few.
     plain = parts.filter(F.size("numbers") <= 0.5 * F.size("tokens"))
     around = F.slice(F.filter("tokens", lambda t: t != END), 1, 12)
